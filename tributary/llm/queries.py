@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import boundary_split as split
 from tributary.llm import encoding_repair as garbled
+from tributary.llm import visual_form as visual
 from tributary.plans.tables import table
 
 
@@ -42,7 +43,16 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(files, "file_id", "converted_md")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = visual.lookalike_pairs(table(spark, d, "documents"), "doc_id", "text")
+    return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+
+
+def p9_forms(spark: SparkSession, d: str) -> DataFrame:
+    return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p9_found, p9_forms)}
 
 SQL = {
     "p3_found": """
