@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import boundary_split as split
+from tributary.llm import container_fill as fill
 from tributary.llm import encoding_repair as garbled
 from tributary.llm import visual_form as visual
 from tributary.plans.tables import table
@@ -43,6 +44,23 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(files, "file_id", "converted_md")
 
 
+def _filled(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "documents").select(F.col("doc_id").alias("id"), fill.byte_tokens(F.col("text")).alias("tokens"))
+    return fill.assign(items)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _filled(spark, d).filter("pieces > 1 AND piece_no = 0").select(F.col("id").alias("doc_id"))
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    return _filled(spark, d).withColumnRenamed("id", "doc_id")
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return fill.container_report(_filled(spark, d))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = visual.lookalike_pairs(table(spark, d, "documents"), "doc_id", "text")
     return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
@@ -52,9 +70,10 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p9_found, p9_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p7_found, p7_containers, p7_report, p9_found, p9_forms)}
 
 SQL = {
+    "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
     "p3_found": """
 SELECT id AS file_id, CASE WHEN list_max(list_transform(regexp_split_to_array(converted_md, '[\\n\\r\\t 。！？；，、.!?;,]'), lambda x: length(x))) > 4000 THEN 'forced' ELSE 'boundary' END AS cut
 FROM uploaded_files WHERE length(converted_md) > 4000""",
