@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tributary.llm import boundary_split as split
 from tributary.llm import container_fill as fill
 from tributary.llm import encoding_repair as garbled
+from tributary.llm import eval_leaks as leaked
 from tributary.llm import visual_form as visual
 from tributary.plans.tables import table
 
@@ -61,6 +62,18 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return fill.container_report(_filled(spark, d))
 
 
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaked.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.round(F.max("share"), 6).alias("largest_share"), F.min("edits").alias("fewest_edits"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = visual.lookalike_pairs(table(spark, d, "documents"), "doc_id", "text")
     return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
@@ -70,7 +83,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p7_found, p7_containers, p7_report, p9_found, p9_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_forms)}
 
 SQL = {
     "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
