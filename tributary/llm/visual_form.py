@@ -25,9 +25,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.arrow_text import code_points, slices
 from tributary.plans.durable import cut
 from tributary.plans.ship import ship
 
@@ -181,35 +183,23 @@ def _marks(cps: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[alive].astype(np.uint32), kept[bounds]
 
 
-def _code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All texts of an Arrow string column as code points laid end to end, and their offsets."""
-    column = column.cast(pa.large_string())
-    n = len(column)
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1]
-    lo, hi = int(offsets[0]), int(offsets[-1])
-    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)[lo:hi]
-    counts = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    return np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32), counts[offsets - lo]
-
-
 def _strings(cps: np.ndarray, bounds: np.ndarray, nulls: pa.Array) -> pa.Array:
     width = 1 + (cps > 0x7F).astype(np.int64) + (cps > 0x7FF) + (cps > 0xFFFF)
     offsets = np.concatenate([[0], np.cumsum(width)])[bounds]
     data = cps.tobytes().decode("utf-32-le", "replace").encode()
     out = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
-    return pa.compute.if_else(nulls, pa.scalar(None, pa.large_string()), out)
+    return pc.if_else(nulls, pa.scalar(None, pa.large_string()), out)
 
 
 def canonical_column(column: pa.Array) -> pa.Array:
-    cps, offsets = _code_points(column)
+    cps, offsets = code_points(column)
     return _strings(*canonical(cps, offsets), column.is_null())
 
 
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import pyarrow.compute  # noqa: F401
-
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), canonical_column(b.column(1)).cast(pa.string())], names=["id", "text", "form"])
+    for whole in batches:
+        for b in slices(whole, 1):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.string()), canonical_column(b.column(1)).cast(pa.string())], names=["id", "text", "form"])
 
 
 def consistent(df: DataFrame, key: str, text: str) -> DataFrame:
