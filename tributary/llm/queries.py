@@ -9,6 +9,7 @@ from tributary.llm import boundary_split as split
 from tributary.llm import container_fill as fill
 from tributary.llm import encoding_repair as garbled
 from tributary.llm import eval_leaks as leaked
+from tributary.llm import name_variants as variants
 from tributary.llm import visual_form as visual
 from tributary.plans.tables import table
 
@@ -45,6 +46,24 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(files, "file_id", "converted_md")
 
 
+def company_names(spark: SparkSession, d: str) -> DataFrame:
+    """Every company name of the three fields, with repeats."""
+    return (
+        table(spark, d, "purchase_orders")
+        .select(F.col("供应商").alias("name"))
+        .unionAll(table(spark, d, "logistics_fulfillment").select("客户名称"))
+        .unionAll(table(spark, d, "entities").filter(F.col("type").isin("供应商", "客户")).select("name_cn"))
+    )
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return variants.variant_pairs(variants.clusters(company_names(spark, d)))
+
+
+def p6_entities(spark: SparkSession, d: str) -> DataFrame:
+    return variants.clusters(company_names(spark, d))
+
+
 def _filled(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "documents").select(F.col("doc_id").alias("id"), fill.byte_tokens(F.col("text")).alias("tokens"))
     return fill.assign(items)
@@ -83,7 +102,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p6_found, p6_entities, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_forms)}
 
 SQL = {
     "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
