@@ -83,8 +83,10 @@ def main(args: list[str]) -> int:
     import __spark_entry__ as e
 
     folder = args[args.index("--dir") + 1] if "--dir" in args else "/root/testdata/sf0.01"
-    names = [a for i, a in enumerate(args) if not a.startswith("--") and (i == 0 or args[i - 1] != "--dir")]
+    prefix = args[args.index("--like") + 1] if "--like" in args else ""
+    names = [a for i, a in enumerate(args) if not a.startswith("--") and (i == 0 or args[i - 1] not in ("--dir", "--like"))]
     qs, sqls = e.queries(), e.oracle_sql()
+    names = names or [n for n in qs if prefix and any(n.startswith(p) for p in prefix.split(","))]
     spark, con, bad = session(), duck(folder), 0
     for name in names or qs:
         try:
