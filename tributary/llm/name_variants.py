@@ -183,7 +183,7 @@ def _signature_udf():
     def signature(names: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([parse(n) for n in names], columns=["place", "brand", "business"])
 
-    return signature
+    return signature.asNondeterministic()  # else a filter on its result is pushed below the aggregation to distinct names
 
 
 def _verify_udf():
@@ -191,7 +191,7 @@ def _verify_udf():
     def verify(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
         return pd.Series([match(x, y) for x, y in zip(a.itertuples(index=False, name=None), b.itertuples(index=False, name=None), strict=True)], dtype=float)
 
-    return verify
+    return verify.asNondeterministic()  # evaluated once, not again in the filter on its result
 
 
 def candidates(brands: DataFrame, least: float = LEAST_SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
@@ -202,9 +202,10 @@ def candidates(brands: DataFrame, least: float = LEAST_SIMILARITY, recall: float
     hashes = F.transform(F.sequence(F.lit(0), F.lit(bands(least, recall, rows) * rows - 1)), lambda k: F.array_min(F.transform(F.col("grams"), lambda g: F.xxhash64(k, g))))
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands(least, recall, rows) - 1)), lambda k: F.xxhash64(k, *[F.element_at(F.col("mins"), k * rows + (i + 1)) for i in range(rows)]))
     banded = brands.withColumn("grams", F.array_distinct(F.concat(ones, twos))).withColumn("mins", hashes).select("brand", F.explode(keys).alias("band"))
-    shared = banded.join(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "band")
+    # merge hints: the size that is known before bands are exploded must not choose a broadcast
+    shared = banded.hint("merge").join(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band").hint("merge"), "band")
     a, b = shared.select("band", F.col("brand").alias("brand_a")), shared.select("band", F.col("brand").alias("brand_b"))
-    return a.join(b, "band").filter("brand_a < brand_b").select("brand_a", "brand_b").distinct()
+    return a.hint("merge").join(b.hint("merge"), "band").filter("brand_a < brand_b").select("brand_a", "brand_b").distinct()
 
 
 def _edges(signatures: DataFrame) -> DataFrame:
