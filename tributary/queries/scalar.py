@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.functions import text as t
+from tributary.operators.profiling import DATE_LIKE
 from tributary.queries.registry import Registry
 
 q = Registry()
@@ -104,6 +105,11 @@ def _(T):
     return T("v").join(first, "ontology_id").select("id", t.shared_characters(c("name_cn"), c("rule")).alias("n"))
 
 
+@q("dat_01_date_detection", "SELECT row_id, regexp_matches(trim(\"下单日期\"), '^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}|^[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{4}|^[0-9]{8}$') AS is_date FROM purchase_orders")
+def _(T):
+    return T("purchase_orders").select("row_id", t.strip(c("下单日期")).rlike(DATE_LIKE).alias("is_date"))
+
+
 @q("dat_02_period", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS m, year(o_orderdate) || '-Q' || quarter(o_orderdate) AS q, CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders")
 def _(T):
     return T("orders").select("o_orderkey", *[t.period_key(c("o_orderdate"), k).alias(a) for k, a in (("MONTH", "m"), ("QUARTER", "q"), ("YEAR", "y"))])
