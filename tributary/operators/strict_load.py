@@ -16,6 +16,8 @@ Defined results
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,32 +65,51 @@ def records(raw: DataFrame, *, offset: str = "raw_id", line: str = "c0", sep: st
     return out.filter((F.col("line") != "") & ~F.col("line").startswith("#") & ~F.coalesce(F.col("line_no") == 0, F.lit(False))).drop("line_no")
 
 
-def _patterns() -> tuple[Column, Column, Column]:
-    """Over separator + line: one field with its separator, any number of them, the separator."""
+#: Separators with patterns of their own, which are compiled once; any other is put into a pattern row by row.
+SEPARATORS = [",", ";", "|", "\t"]
+
+
+def _by_separator(make: Callable[[Column, Column], Column]) -> Column:
+    """``make(separator, field)`` with the patterns of the row's separator."""
     s = F.concat(F.lit(r"\Q"), F.col("sep"), F.lit(r"\E"))
-    field = F.concat(F.lit(r'(?:"[^"]*+(?:""[^"]*+)*+"|(?:(?!'), s, F.lit(r')[^"])*+)'))
-    return s, field, F.concat(F.lit(r"\A(?:"), s, field, F.lit(")"))
+    out = make(s, F.concat(F.lit(r'(?:"[^"]*+(?:""[^"]*+)*+"|(?:(?!'), s, F.lit(r')[^"])*+)')))
+    for sep in SEPARATORS:
+        fast = make(F.lit("[" + sep + "]"), F.lit(r'(?:"[^"]*+(?:""[^"]*+)*+"|[^"' + sep + "]*+)"))
+        out = F.when(F.col("sep") == sep, fast).otherwise(out)
+    return out
+
+
+def _matches(times: str) -> Column:
+    """Whether separator + line is that many fields, each with the separator before it, and nothing else."""
+    return _by_separator(lambda s, field: F.rlike(F.concat("sep", "line"), F.concat(F.lit(r"\A(?:"), s, field, F.lit(")" + times + r"\z"))))
 
 
-def _with_fields(df: DataFrame) -> DataFrame:
-    s, field, _ = _patterns()
-    one = F.concat(F.lit(r"\G"), s, F.lit("("), field, F.lit(")"))
-    raw = F.regexp_extract_all(F.concat("sep", "line"), one, F.lit(1))
-    plain = F.transform(raw, lambda x: F.trim(F.when(x.startswith('"'), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)))
-    return df.withColumn("fields", plain)
+def _fields() -> Column:
+    """The fields of a record as an array: unquoted, without outer spaces."""
+    raw = _by_separator(lambda s, field: F.regexp_extract_all(F.concat("sep", "line"), F.concat(F.lit(r"\G"), s, F.lit("("), field, F.lit(")")), F.lit(1)))
+    return F.transform(raw, lambda x: F.trim(F.when(x.startswith('"'), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)))
 
 
-def _values_hold(fields: list[str], kinds: dict[str, str]) -> Column:
+def _values_hold(values: Column, fields: list[str], kinds: dict[str, str]) -> Column:
     ok = F.lit(True)
     for name, kind in kinds.items():
-        ok = ok & _valid(F.get("fields", F.lit(fields.index(name))), kind)
+        ok = ok & _valid(F.get(values, F.lit(fields.index(name))), kind)
     return ok
 
 
+def _parsed(df: DataFrame, fields: list[str], kinds: dict[str, str], only_valid: bool) -> DataFrame:
+    """``df`` with ``fields`` and ``valid``.
+
+    The parse is bound to a lambda variable and leaves through a generator: else the optimizer copies
+    it into every place that reads a field, and each copy parses the record again.
+    """
+    bound = F.transform(F.array(_fields()), lambda f: F.struct(f.alias("fields"), _values_hold(f, fields, kinds).alias("valid")))
+    return df.select("*", F.inline(F.filter(bound, lambda x: x["valid"]) if only_valid else bound))
+
+
 def strict_load(recs: DataFrame, fields: list[str] = ORDER_FIELDS, kinds: dict[str, str] = ORDER_KINDS) -> DataFrame:
     """Only the conforming records: (offset, sep, line, fields)."""
-    whole = F.concat(_patterns()[2], F.lit("{%d}+\\z" % len(fields)))
-    return _with_fields(recs.filter(F.rlike(F.concat("sep", "line"), whole))).filter(_values_hold(fields, kinds))
+    return _parsed(recs.filter(_matches("{%d}+" % len(fields))), fields, kinds, True).drop("valid")
 
 
 def typed_orders(raw: DataFrame, fields: list[str] = ORDER_FIELDS, kinds: dict[str, str] = ORDER_KINDS, **columns: str) -> DataFrame:
@@ -120,11 +141,10 @@ def rejects(raw: DataFrame, fields: list[str] = ORDER_FIELDS, kinds: dict[str, s
     recs = _key(records(raw, **columns))
     loaded = _key(strict_load(recs.drop("digest"), fields, kinds)).select("offset", "digest")
     rest = recs.join(loaded, ["offset", "digest"], "left_anti")
-    any_fields = F.concat(_patterns()[2], F.lit(r"++\z"))
-    diagnosed = _with_fields(rest).withColumn(
+    diagnosed = _parsed(rest, fields, kinds, False).withColumn(
         "reason",
-        F.when(~F.rlike(F.concat("sep", "line"), any_fields), "quoting")
+        F.when(~_matches("++"), "quoting")
         .when(F.size("fields") != len(fields), "column_count")
-        .when(~_values_hold(fields, kinds), "value"),
+        .when(~F.col("valid"), "value"),
     )
     return diagnosed.filter(F.col("reason").isNotNull()).select(F.col("offset").alias(columns.get("offset", "raw_id")), "reason", "line")
