@@ -236,8 +236,8 @@ class Repair:
     """Finds and restores garbled spans; ``counts`` are the occurrences of each code point in all texts."""
 
     def __init__(self, counts: dict[int, int] | None = None) -> None:
-        self.back, prior = gb_as_big5()
-        self.common = prior.copy()
+        self.back, self.prior = gb_as_big5()
+        self.common = self.prior.copy()
         for c, n in (counts or {}).items():
             self.common[c] += np.log1p(n)
         self.cache: dict[str, tuple[bool, str]] = {}
@@ -313,8 +313,18 @@ class Repair:
         for lo, hi in spans:
             m = mapped[lo:hi]
             whole = (mapped | ~wide | (cps == 0xFFFD)).all() and m.sum() == mapped.sum()
-            if score[lo:hi][m].mean() < BIG5_MEAN or not (whole and m.sum() > 1 or m.sum() >= BIG5_RUN and score[lo:hi].sum() >= BIG5_RUN_SUM):
+            gain = score[lo:hi]
+            strange = (m & (self.prior[cps[lo:hi]] == 0) & (gain > BIG5_STRANGE)).any()  # far rarer than what it would have been
+            enough = whole and m.sum() > 1 or m.sum() >= BIG5_RUN and gain.sum() >= BIG5_RUN_SUM or strange and gain.sum() >= BIG5_STRANGE_SUM
+            if gain[m].mean() < BIG5_MEAN or not enough:
                 continue
+            a, b = lo, hi
+            while a and mapped[a - 1]:
+                a -= 1
+            while b < len(cps) and mapped[b]:
+                b += 1
+            if (a == 0 or not wide[a - 1]) and (b == len(cps) or not wide[b]):
+                lo, hi, m = a, b, mapped[a:b]  # nothing sound adjoins: the run as a whole
             new[lo:hi] = np.where(m, was[lo:hi], cps[lo:hi])
             done = True
         return new.tobytes().decode("utf-32-le", "replace") if done else text
@@ -349,6 +359,8 @@ class Repair:
 
 #: Least likelihood gain of a whole text and per character; least length and gain of a passage.
 BIG5_SUM, BIG5_MEAN, BIG5_RUN, BIG5_RUN_SUM = 7.0, 1.5, 4, 18.0
+#: A character outside GB 2312 with this gain is strange; a passage that has one may be shorter.
+BIG5_STRANGE, BIG5_STRANGE_SUM = 8.0, 14.0
 
 
 def _hits(automaton: ahocorasick.Automaton, text: str) -> list[tuple]:
