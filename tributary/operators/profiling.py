@@ -37,7 +37,8 @@ def long_form(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 def schema_vote(df: DataFrame, columns: list[str], order: str | None = None, sample: int | None = None) -> DataFrame:
     """(column_name, type): most votes, ties by the fixed order, no votes is string; all rows unless sampled."""
     src = df.orderBy(order).limit(sample) if sample else df
-    votes = long_form(src, [], columns).filter(~is_blank(F.col("value"))).withColumn("type", vote_type(F.col("value"))).groupBy("column_name", "type").agg(F.count("*").alias("n"))
+    cells = long_form(src, [], columns).groupBy("column_name", "value").agg(F.count("*").alias("n")).filter(~is_blank(F.col("value")))
+    votes = cells.groupBy("column_name", vote_type(F.col("value")).alias("type")).agg(F.sum("n").alias("n"))
     best = votes.withColumn("p", F.array_position(F.array(*[F.lit(v) for v in VOTES]), F.col("type"))).groupBy("column_name").agg(F.max_by("type", F.struct("n", -F.col("p"))).alias("type"))
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
     return names.join(best, "column_name", "left").select("column_name", F.coalesce("type", F.lit("string")).alias("type"))
