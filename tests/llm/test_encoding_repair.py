@@ -48,7 +48,7 @@ def test_lost_text_is_reported(fix):
 
 
 def test_frames(spark):
-    df = spark.createDataFrame([(1, "ä»\x93å\x82¨", "x"), (2, None, "x"), (2, None, "x"), (3, "", None), (None, "好" * 50_000, "y")], "k long, text string, restored2 string")
+    df = spark.createDataFrame([(1, "ä»\x93å\x82¨", "x"), (2, None, "x"), (2, None, "x"), (3, "", None), (None, "好" * 50_000, "y")], "k long, text string, restored string")
     rows = repair(df, "text", character_counts(df)).collect()
     assert sorted((r.k or 0, r.garbled) for r in rows) == [(0, False), (1, True), (2, False), (2, False), (3, False)]
     assert next(r.restored for r in rows if r.k == 1) == "仓储"

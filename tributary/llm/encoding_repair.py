@@ -396,8 +396,9 @@ def character_counts(texts: DataFrame, text: str = "text") -> dict[int, int]:
 
 
 def repair(df: DataFrame, text: str | Column = "text", counts: dict[int, int] | None = None) -> DataFrame:
-    """``df`` with ``garbled`` and ``restored`` for the column ``text``."""
+    """``df`` with ``garbled`` and ``restored`` for the column ``text``; columns of these names are replaced."""
     ship(df)
+    df = df.drop("garbled", "restored", "__fix")
     shared = df.sparkSession.sparkContext.broadcast(counts or {})
 
     @F.pandas_udf("garbled boolean, restored string")
