@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tributary.plans.ship import ship
 
 #: Parents of one range, and references of one cell, that a task is meant to hold or stream.
-PARENTS_A_RANGE = 250_000
-REFERENCES_A_CELL = 4_000_000
+PARENTS_A_RANGE = 50_000
+REFERENCES_A_CELL = 1_000_000
 
 OUTER = r"(?U)^\s+|\s+$"
 ALWAYS = "0001-01-01 00:00:00"
@@ -144,15 +144,21 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 take = pa.array(miss)
                 kind = np.where(~found, "missing", np.where(deleted, "deleted", "late"))[miss]
                 at = part.column("at").take(take)
+                # a reference that is written as its key was not sent twice
+                written = pc.coalesce(part.column("ref_key").take(take), pc.replace_substring_regex(part.column("key").take(take), pattern=r"(?s)^[^\x01]*\x01[^\x01]*\x01", replacement=""))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(take).cast(pa.string()) for c in ("table_name", "field_name", "row_key", "ref_key")), pa.array(kind, pa.string()), pc.strftime(at.cast(pa.timestamp("us")), format="%Y-%m").cast(pa.string())], schema=OUT
+                    [*(part.column(c).take(take).cast(pa.string()) for c in ("table_name", "field_name", "row_key")), written.cast(pa.string()), pa.array(kind, pa.string()), pc.strftime(at.cast(pa.timestamp("us")), format="%Y-%m").cast(pa.string())], schema=OUT
                 )
 
 
-def orphans(parents: DataFrame, refs: DataFrame, parents_a_range: int = PARENTS_A_RANGE, references_a_cell: int = REFERENCES_A_CELL) -> DataFrame:
-    """(table_name, field_name, row_key, ref_key, kind, period) of every reference without a valid parent."""
+def orphans(parents: DataFrame, refs: DataFrame, n_parents: int | None = None, n_refs: int | None = None, parents_a_range: int = PARENTS_A_RANGE, references_a_cell: int = REFERENCES_A_CELL) -> DataFrame:
+    """(table_name, field_name, row_key, ref_key, kind, period) of every reference without a valid parent.
+
+    The numbers of parents and references only size the ranges and salts; give upper bounds where they
+    are cheaper to have than a count.
+    """
     ship(parents)
-    n_parents, n_refs = parents.count(), refs.count()
+    n_parents, n_refs = parents.count() if n_parents is None else n_parents, refs.count() if n_refs is None else n_refs
     bits = max(0, math.ceil(math.log2(max(1, n_parents / parents_a_range))))
     salts = max(1, math.ceil(n_refs / references_a_cell / 2**bits))
     h = F.xxhash64("key")
@@ -164,11 +170,11 @@ def orphans(parents: DataFrame, refs: DataFrame, parents_a_range: int = PARENTS_
     )
     side_r = refs.select(
         cell.alias("cell"), F.pmod(F.xxhash64("row_key", "ref_key", "field_name"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("is_ref"), h.alias("h"), "key", F.col("created_at").alias("at"),
-        "table_name", "field_name", "row_key", "ref_key",
+        "table_name", "field_name", "row_key", F.when(~F.endswith(F.col("key"), F.concat(F.lit("\u0001"), F.col("ref_key"))), F.col("ref_key")).alias("ref_key"),
     )
     both = side_p.unionByName(side_r).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "is_ref", "h")
     schema = "table_name string, field_name string, row_key string, ref_key string, kind string, period string"
-    return both.mapInArrow(_probe, schema).distinct()
+    return both.mapInArrow(_probe, schema).distinct()  # only the misses
 
 
 def ontology_orphans(entities: DataFrame, rules: DataFrame, relations: DataFrame, actions: DataFrame, **sizes: int) -> DataFrame:
@@ -186,4 +192,5 @@ def ontology_orphans(entities: DataFrame, rules: DataFrame, relations: DataFrame
         .unionByName(references(actions, "actions", "linked_entities", "name", clean, scope(actions), many=True))
         .unionByName(references(actions, "actions", "linked_logic_ids", "rule", identifier, many=True))
     )
-    return orphans(parents, refs, **sizes)
+    lists = actions.agg(F.sum(F.greatest(F.size("linked_entities"), F.lit(0)) + F.greatest(F.size("linked_logic_ids"), F.lit(0)))).first()[0] or 0
+    return orphans(parents, refs, 2 * entities.count() + rules.count(), 2 * relations.count() + lists, **sizes)
