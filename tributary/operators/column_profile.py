@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.plans.durable import cut
+
 INTEGER, NUMERIC = r"\A[+-]?[0-9]+\z", r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 #: The business columns, and which of them are measured how.
@@ -149,7 +151,7 @@ def findings(vals: DataFrame, recorded: DataFrame, feed: str = "feed", load_no:
     """(feed, load_no, column_name, finding) of every load and column."""
     load = [feed, load_no]
     masks = mask_table(vals, load, forms)
-    now = profile(masks, load)
+    now = cut(profile(masks, load))  # one row a load and column, which is read twice below
     before = now.select(feed, (F.col(load_no) + 1).alias(load_no), "column_name", F.struct("null_pct", "inferred_type", "distinct_count", "min_number", "max_number").alias("b"))
     drift = divergence(
         vals.filter(F.col("column_name").isin(categories) & (F.trim("value") != "")).groupBy(*load, "column_name", F.trim("value").alias("value")).agg(F.sum("n").alias("n")), feed, load_no, "value"
