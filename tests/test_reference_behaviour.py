@@ -218,3 +218,21 @@ def test_upsert_and_stream(spark, tmp_path):
     s = spark.readStream.schema(df.schema).parquet(str(tmp_path / "s"))
     assert incremental.run_available(k.trim_strings(s)).exceptAll(k.trim_strings(df)).isEmpty()
     assert incremental.run_available(incremental.windowed_counts(s, "ts", "t"), "complete").agg(F.sum("n")).first()[0] == 30
+
+
+def test_build_all(spark):
+    from tributary.operators.ontology import Dataset, build_all
+
+    orders = spark.createDataFrame([("o1", "SUP-001", "甲公司，乙公司", "W1"), ("o2", "SUP-002", "乙公司", "W2"), ("o3", "SUP-003", "丙", "W2")], "order_id string, supplier_id string, mentions string, `库位编号` string")
+    sup = spark.createDataFrame([("SUP001", "甲公司"), ("SUP002", "乙公司")], "supplier_id string, name string")
+    ware = spark.createDataFrame([("w-a", "W1"), ("w-b", "W2"), ("w-c", "W3")], "wid string, `库位编号` string")
+    sets = [Dataset("orders", orders, {"entity_class": "Order", "primary_key": "order_id"}), Dataset("suppliers", sup, {"entity_class": "Supplier", "primary_key": "supplier_id"}), Dataset("warehouses", ware, {"entity_class": "Warehouse", "primary_key": "wid"})]
+    link = {"source": "suppliers", "target": "orders", "src_key": "name", "tgt_key": "mentions", "relation": "NAMED_IN"}
+    out = build_all(spark, "o1", sets, [link, {**link, "status": "suggested", "relation": "NOT"}])
+    got = {(r.type, r.origin): r.n for r in out["relations"].groupBy("type", "origin").agg(F.count("*").alias("n")).collect()}
+    assert got[("HAS_SUPPLIER", "fk")] == 2
+    assert got[("HAS_SUPPLIER", "alt_key")] == 3 and got[("HAS_WAREHOUSE", "same_name")] == 3 and got[("NAMED_IN", "link")] == 1 and not any(k == "NOT" for k, _ in got)
+    counts = {r.part: r.n for r in out["summary"].collect()}
+    assert (counts["concepts"], counts["instances"]) == (3, 8)
+    again = build_all(spark, "o1", sets, [link])
+    assert out["relations"].select("id").exceptAll(again["relations"].select("id")).isEmpty() and out["instances"].select("id").exceptAll(again["instances"].select("id")).isEmpty()

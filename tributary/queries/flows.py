@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tributary.functions import text as t
-from tributary.operators import audit, cleansing, documents, graph, links, mapping, merge, rules, search
+from tributary.operators import audit, cleansing, documents, graph, links, mapping, merge, ontology, rules, search
 from tributary.operators import profiling as p
 from tributary.plans import pipeline
 from tributary.plans.durable import checkpoint_dir
@@ -483,9 +483,10 @@ def _(T):
     return T("purchase_orders").select("row_id", rules.readable(F.when(n == 2, "inference").otherwise("validation"), expr, F.lit("Order")).alias("formula"))
 
 
-@q("str_16_display_name", "SELECT id, left(coalesce(nullif(name_cn, ''), nullif(name_en, ''), id), 200) AS name FROM v")
+@q("str_16_display_name", "SELECT id, left(coalesce(nullif(trim(name_cn), ''), nullif(trim(name_en), ''), id), 200) AS name FROM v")
 def _(T):
-    return T("v").select("id", F.left(F.coalesce(F.nullif("name_cn", F.lit("")), F.nullif("name_en", F.lit("")), "id"), F.lit(200)).alias("name"))
+    v = T("v").select("id", "name_cn", "name_en")
+    return v.select("id", ontology.display_name(v.columns, "Entity", "id", F.lit(1)).alias("name"))
 
 
 @q("qlt_04_validator", "SELECT kind, count(*) AS n FROM (SELECT 'missing_name' AS kind FROM v WHERE name_cn IS NULL OR trim(name_cn) = '' UNION ALL SELECT 'missing_type' FROM v WHERE type IS NULL OR trim(type) = '' UNION ALL SELECT 'unknown_type' FROM v WHERE type <> '' AND type NOT IN ('物料', '供应商', '客户') UNION ALL SELECT 'broken_end' FROM e WHERE source_entity IS NULL OR target_entity IS NULL OR source_entity NOT IN (SELECT id FROM v) OR target_entity NOT IN (SELECT id FROM v) UNION ALL SELECT DISTINCT 'broken_link' || substr(id, 1, 0) FROM (SELECT id, unnest(linked_logic_ids) AS x FROM a) WHERE false UNION ALL SELECT 'broken_link' FROM (SELECT DISTINCT id FROM (SELECT id, unnest(linked_logic_ids) AS x FROM a) WHERE x IS NOT NULL AND x NOT IN (SELECT id FROM r)) UNION ALL SELECT 'no_formula' FROM r WHERE formula IS NULL OR trim(formula) = '' UNION ALL SELECT 'repeated_name' FROM (SELECT ontology_id, name_cn FROM v WHERE trim(name_cn) <> '' GROUP BY 1, 2 HAVING count(*) > 1)) GROUP BY kind")
@@ -604,6 +605,12 @@ def _(T):
     return _build(T).groupBy("type").agg(F.count("*").alias("n"))
 
 
+@q("mpg_09_build_all_summary", "SELECT 'concepts' AS part, 3 AS n UNION ALL SELECT 'instances', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM region) UNION ALL SELECT 'relations', (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation) UNION ALL SELECT 'texts', 3")
+def _(T):
+    sets = [ontology.Dataset(n, T(n), {"entity_class": n.title(), "primary_key": pk}) for n, pk in (("supplier", "s_suppkey"), ("nation", "n_nationkey"), ("region", "r_regionkey"))]
+    return ontology.build_all(T("region").sparkSession, "o1", sets)["summary"].filter("part not in ('rules', 'actions')")
+
+
 @q("mpg_10_fk_detection", "SELECT * FROM (VALUES ('supplier', 's_nationkey', 'name'), ('orders', 'o_custkey', 'name')) t(dataset, col, how)")
 def _(T):
     out = [("supplier", x["column"], x["how"]) for x in mapping.fk_candidates(T("supplier"), "supplier", T("nation"), "nation", "n_nationkey", "s_suppkey")]
