@@ -53,3 +53,12 @@ def test_frames(spark):
     assert sorted((r.k or 0, r.garbled) for r in rows) == [(0, False), (1, True), (2, False), (2, False), (3, False)]
     assert next(r.restored for r in rows if r.k == 1) == "仓储"
     assert repair(df.limit(0), "text", {}).count() == 0
+
+
+def test_copies_of_a_garbled_value_are_no_evidence_for_it(spark):
+    wrong = "采购部".encode("gbk").decode("big5")
+    texts = [f"采购部与质量管理部的清单{i}" for i in range(40)] + [f"其他{i}" for i in range(160)] + [wrong] * 100
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = repair(df, "text", character_counts(df)).collect()
+    assert [(r.garbled, r.restored) for r in rows if r.text == wrong] == [(True, "采购部")] * 100
+    assert not any(r.garbled for r in rows if r.text != wrong)

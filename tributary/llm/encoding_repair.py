@@ -11,13 +11,13 @@ stays as it is. Three families of pairs differ in what a match proves:
 * UTF-8 read as GB 18030: a match is the start of a span that is decoded as far as it is valid.
 
 GBK read as Big5 gives one ordinary hanzi for each hanzi, so there the span is found by the likelihood
-of the characters before and after, from the character counts of all texts (at most one row a code
-point). Replacement characters, and the traces they leave when they are read as GBK, are garbled
+of the characters before and after, from the character counts of the distinct texts (at most one row a
+code point). Replacement characters, and the traces they leave when they are read as GBK, are garbled
 without a way back: such text is reported and left as it is around what can be restored.
 
 Defined results
 * null and empty texts are not garbled and stay as they are; texts may have any length;
-* a row is judged on its own text, so repeated rows have equal results;
+* copies of a text have equal results and do not count as evidence, however often it is repeated;
 * an empty table gives an empty result; row keys may be of any type and are not interpreted.
 """
 
@@ -233,7 +233,7 @@ def _decode_gb_span(text: str, start: int) -> tuple[int, str, int, int]:
 
 
 class Repair:
-    """Finds and restores garbled spans; ``counts`` are the occurrences of each code point in all texts."""
+    """Finds and restores garbled spans; ``counts`` are the occurrences of each code point in distinct texts."""
 
     def __init__(self, counts: dict[int, int] | None = None) -> None:
         self.back, self.prior = gb_as_big5()
@@ -389,9 +389,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def character_counts(texts: DataFrame, text: str = "text") -> dict[int, int]:
-    """Occurrences of each code point in all texts: at most 1,114,112 rows, whatever the data."""
+    """Occurrences of each code point in the distinct texts: at most 1,114,112 rows, whatever the data.
+
+    Each text counts once, so that copies of a garbled one do not make its wrong characters look common.
+    """
     ship(texts)
-    rows = texts.select(text).mapInArrow(_count, "cp int, n long").groupBy("cp").agg(F.sum("n").alias("n")).collect()
+    rows = texts.select(text).distinct().mapInArrow(_count, "cp int, n long").groupBy("cp").agg(F.sum("n").alias("n")).collect()
     return {r.cp: r.n for r in rows}
 
 
