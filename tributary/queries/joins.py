@@ -94,6 +94,12 @@ def _(T):
     return ln.resolve_names(asked, "name", T("v").filter(c("type").isin("指标", "概念")), "name_cn", "id")
 
 
+@q("joi_13_fuzzy_names_all")
+def _(T):
+    asked = T("a").select(F.explode("linked_entities").alias("name"))
+    return ln.resolve_names(asked, "name", T("v"), "name_cn", "id")
+
+
 @q("joi_14_anchor_matching")
 def _(T):
     v = T("v").filter("type in ('指标', '概念', '物料')")
