@@ -1,6 +1,6 @@
 """Queries on small tables that hold what a cut would lose."""
 
-from tributary.queries import joins
+from tributary.queries import flows, joins
 from tributary.queries.registry import view
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,3 +20,21 @@ def test_names_resolve_against_entities_of_all_types(spark):
     got = joins.q.queries["joi_13_fuzzy_names_all"](spark, FOLDER).collect()
     assert {r["name"]: r["id"] for r in got} == want and len(got) == len(want)
     assert len(want) > joins.q.queries["joi_13_fuzzy_names"](spark, FOLDER).count()
+
+
+def test_orphans_of_all_types_meet_anchors_of_their_type(spark, tmp_path):
+    kinds = ["指标", "概念", "物料", "单据", "供应商", "客户"]
+    rows = [{"id": f"{end}{i}", "ontology_id": onto, "name_cn": f"甲乙丙{i}", "type": t, "confidence": 0.9} for i, t in enumerate(kinds) for end, onto in (("orphan", "o-1"), ("anchor", "o-sup-00000"))]
+    rows.append({"id": "other", "ontology_id": "o-1", "name_cn": "甲乙丙0", "type": "客户", "confidence": 0.9})
+    at = spark.read.parquet(f"{FOLDER}/entities.parquet").agg({"updated_at": "max"}).first()[0]
+    rows = [r | {"updated_at": at} for r in rows]
+    for name, some in (("entities", rows), ("relations", [])):
+        schema = spark.read.parquet(f"{FOLDER}/{name}.parquet").schema
+        spark.createDataFrame([tuple(r.get(c) for c in schema.names) for r in some], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = {(f"orphan{i}", f"anchor{i}") for i in range(len(kinds))}
+    got = joins.q.queries["joi_14_anchor_matching"](spark, str(tmp_path)).collect()
+    assert {(r.orphan, r.anchor) for r in got if r.method == "exact_name_cn"} == want
+    plan = flows.q.queries["mpg_19_link_plan"](spark, str(tmp_path)).collect()
+    assert {(r.orphan, r.anchor) for r in plan if r.action == "merge"} == want
+    kept = {r.id for r in flows.q.queries["mpg_20_apply_plan"](spark, str(tmp_path)).collect()}
+    assert kept == {f"anchor{i}" for i in range(len(kinds))} | {"other"}

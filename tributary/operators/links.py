@@ -113,7 +113,9 @@ def anchor_matches(orphans: DataFrame, anchors: DataFrame, least_ratio: float =
     short, long_ = F.least(F.length("n"), F.length("m")), F.greatest(F.length("n"), F.length("m"))
     part = (F.contains(F.col("n"), F.col("m")) | F.contains(F.col("m"), F.col("n"))) & (short / long_ >= 0.5) & (short >= 2)
     sub = g.filter(part).select("orphan", "anchor", F.lit("substring").alias("method"), (0.80 + 0.08 * short / long_).alias("score"))
-    possible = g.filter(~part & (2.0 * short / (short + long_) >= least_ratio))
+    # a character of one name that the other lacks is never matched, which bounds the ratio from above
+    most = lambda x, y: F.length(x) - F.size(F.array_except(F.split(x, ""), F.split(y, "")))
+    possible = g.filter(~part & (2.0 * short / (short + long_) >= least_ratio) & (2.0 * F.least(most("n", "m"), most("m", "n")) / (short + long_) >= least_ratio))
     near = possible.withColumn("score", sequence_ratio(F.col("n"), F.col("m"))).filter(F.col("score") >= least_ratio).select("orphan", "anchor", F.lit("ratio").alias("method"), "score")
     every = done.unionByName(sub).unionByName(near)
     return every.withColumn("r", F.row_number().over(Window.partitionBy("orphan").orderBy(F.desc("score"), "method", "anchor"))).filter("r = 1").drop("r")

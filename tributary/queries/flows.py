@@ -675,7 +675,7 @@ def _(T):
 
 
 def _plan(T):
-    v = T("v").filter("type in ('指标', '概念')")
+    v = T("v")
     m = links.anchor_matches(v.filter("ontology_id <> 'o-sup-00000'"), v.filter("ontology_id = 'o-sup-00000'"))
     return mapping.link_plan(m, v.filter("ontology_id = 'o-sup-00000' and confidence > 0.5"))
 

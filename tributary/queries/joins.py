@@ -102,7 +102,7 @@ def _(T):
 
 @q("joi_14_anchor_matching")
 def _(T):
-    v = T("v").filter("type in ('指标', '概念', '物料')")
+    v = T("v")
     return ln.anchor_matches(v.filter("ontology_id <> 'o-sup-00000'"), v.filter("ontology_id = 'o-sup-00000'"))
 
 
