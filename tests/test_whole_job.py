@@ -1,5 +1,6 @@
 """Queries on small tables that hold what a cut would lose."""
 
+from tributary.operators import documents
 from tributary.queries import flows, joins
 from tributary.queries.registry import view
 
@@ -38,3 +39,14 @@ def test_orphans_of_all_types_meet_anchors_of_their_type(spark, tmp_path):
     assert {(r.orphan, r.anchor) for r in plan if r.action == "merge"} == want
     kept = {r.id for r in flows.q.queries["mpg_20_apply_plan"](spark, str(tmp_path)).collect()}
     assert kept == {f"anchor{i}" for i in range(len(kinds))} | {"other"}
+
+
+def test_long_documents_come_out_whole(spark):
+    body = "\n".join([f"Term{i} (unit): " + "x" * 600 for i in range(25)] + [f"{i + 10}吨" for i in range(9)])
+    df = spark.createDataFrame([("a", "# Head\n" + body), ("b", "y" * 3000), ("c", "z" * 3000)], "id string, md string")
+    text = {r.id: r.section_text for r in documents.sections(df, "id", "md").collect()}
+    assert text == {"a": body, "b": "y" * 3000, "c": "z" * 3000}
+    assert {r.id: len(r.section_text) for r in documents.sections(df, "id", "md", longest=2000).collect()} == {"a": 2000, "b": 2000, "c": 2000}
+    assert [len(r.definition) for r in documents.definitions(df, "id", "md").collect()] == [600] * 25
+    got = {(r.id, r.row_type): r for r in documents.extract(df, "id", "md").collect()}
+    assert got["a", "section"].body == body and got["a", "section"].thresholds == ", ".join(str(i + 10) for i in range(9))

@@ -33,19 +33,27 @@ def rules(docs: DataFrame, key: str, text: str) -> DataFrame:
     return then.unionByName(comma).select(key, F.row_number().over(w).alias("rule_index"), "condition", "action")
 
 
-def definitions(docs: DataFrame, key: str, text: str, limit: int | None = 20) -> DataFrame:
-    """(key, definition_index, name, qualifier, definition) of lines ``Name (qualifier): text``; steps are none."""
+def clipped(c: Column, longest: int | None) -> Column:
+    return F.substring(c, 1, longest) if longest else c
+
+
+def definitions(docs: DataFrame, key: str, text: str, limit: int | None = None, longest: int | None = None) -> DataFrame:
+    """(key, definition_index, name, qualifier, definition) of lines ``Name (qualifier): text``; steps are none.
+
+    ``limit`` definitions a document of ``longest`` characters; the reference has 20 and 500.
+    """
     s = strip(F.col("line"))
     hit = lines(docs, key, text).filter(s.rlike(DEFINITION)).select(key, "i", *[strip(F.regexp_extract(s, DEFINITION, n)).alias(a) for n, a in ((1, "name"), (2, "qualifier"), (3, "definition"))])
     out = hit.filter(~F.col("name").rlike(STEP)).withColumn("definition_index", F.row_number().over(Window.partitionBy(key).orderBy("i")))
     out = out.filter(F.col("definition_index") <= limit) if limit else out
-    return out.select(key, "definition_index", "name", "qualifier", F.substring("definition", 1, 500).alias("definition"))
+    return out.select(key, "definition_index", "name", "qualifier", clipped(F.col("definition"), longest).alias("definition"))
 
 
-def sections(docs: DataFrame, key: str, text: str, limit: int | None = None) -> DataFrame:
+def sections(docs: DataFrame, key: str, text: str, limit: int | None = None, longest: int | None = None) -> DataFrame:
     """(key, section_index, section_title, section_text): the text from a heading to the next; bodies without text are left out.
 
-    Documents without ``#`` headings are cut at numbered lines, others are one section.
+    Documents without ``#`` headings are cut at numbered lines, others are one section. ``limit`` sections a
+    document of ``longest`` characters; the reference has 2,000 characters.
     """
     ln = lines(docs, key, text)
     numbered = r"^\s*([0-9]+[\.、)])\s+(\S[^\n]{0,60}?)\s*$"
@@ -59,7 +67,7 @@ def sections(docs: DataFrame, key: str, text: str, limit: int | None = None) ->
     body = x.filter(~F.col("any") | (F.col("n") > 0)).groupBy(key, "n").agg(F.max(F.when(F.col("head"), title)).alias("section_title"), F.transform(F.sort_array(F.collect_list(F.struct("i", F.when(F.col("head"), F.lit(None).cast("string")).otherwise(F.col("line")).alias("line")))), lambda s: s["line"]).alias("parts"))
     out = body.select(key, F.greatest(F.col("n"), F.lit(1)).alias("section_index"), "section_title", strip(F.array_join("parts", "\n")).alias("section_text")).filter("section_text <> ''")
     out = out.filter(F.col("section_index") <= limit) if limit else out
-    return out.select(key, "section_index", "section_title", F.substring("section_text", 1, 2000).alias("section_text"))
+    return out.select(key, "section_index", "section_title", clipped(F.col("section_text"), longest).alias("section_text"))
 
 
 def _cells(line: str) -> list[str]:
@@ -113,17 +121,21 @@ def enrich(rows: DataFrame, columns: list[str], most: tuple[int | None, int | No
     return rows.withColumns({"organizations": organisations(own, most[0]), "thresholds": thresholds(own, most[1])})
 
 
-def extract(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """All rows of all documents: rules, table rows, definitions, sections; a document without any is one row."""
+def extract(docs: DataFrame, key: str, text: str, longest: int | None = None, most: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """All rows of all documents: rules, table rows, definitions, sections; a document without any is one row.
+
+    Bodies of sections and whole documents have ``longest`` characters, rows name at ``most`` so many
+    organisations and thresholds; the reference has 2,000, and 8 and 6.
+    """
     d = docs.filter(F.col(text).isNotNull() & (strip(F.col(text)) != "")).select(key, text)
     record = lambda kind, *n: F.concat_ws(":", F.col(key).cast("string"), F.lit(kind), *n)
     s = lambda c: F.col(c).cast("string")
     out = rules(d, key, text).select(key, record("rule", s("rule_index")).alias("record_id"), F.lit("rule").alias("row_type"), F.lit(None).cast("string").alias("title"), F.concat_ws(" => ", "condition", "action").alias("body"))
     out = out.unionByName(tables(d, key, text).select(key, record("table", s("table_index"), F.lit("row"), s("table_row_index")).alias("record_id"), F.lit("table_row").alias("row_type"), F.col("section_title").alias("title"), F.to_json("cells").alias("body")))
     out = out.unionByName(definitions(d, key, text).select(key, record("definition", s("definition_index")).alias("record_id"), F.lit("definition").alias("row_type"), F.col("name").alias("title"), F.col("definition").alias("body")))
-    out = out.unionByName(sections(d, key, text).select(key, record("section", s("section_index")).alias("record_id"), F.lit("section").alias("row_type"), F.col("section_title").alias("title"), F.col("section_text").alias("body")))
-    rest = d.join(out.select(key).distinct(), key, "left_anti").select(key, record("document", F.lit("1")).alias("record_id"), F.lit("document").alias("row_type"), F.lit(None).cast("string").alias("title"), F.substring(text, 1, 2000).alias("body"))
-    return enrich(out.unionByName(rest), ["title", "body"])
+    out = out.unionByName(sections(d, key, text, longest=longest).select(key, record("section", s("section_index")).alias("record_id"), F.lit("section").alias("row_type"), F.col("section_title").alias("title"), F.col("section_text").alias("body")))
+    rest = d.join(out.select(key).distinct(), key, "left_anti").select(key, record("document", F.lit("1")).alias("record_id"), F.lit("document").alias("row_type"), F.lit(None).cast("string").alias("title"), clipped(F.col(text), longest).alias("body"))
+    return enrich(out.unionByName(rest), ["title", "body"], most)
 
 
 def structured_by(docs: DataFrame, key: str, text: str, extract_one: Callable[[list[str]], list[dict]] | None, auto: bool = False, batch: int = 20) -> DataFrame:
