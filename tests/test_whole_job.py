@@ -1,8 +1,11 @@
 """Queries on small tables that hold what a cut would lose."""
 
+import pytest
+
 from tributary.operators import documents
 from tributary.queries import flows, joins
 from tributary.queries.registry import view
+from tributary.sources import connectors
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -50,3 +53,24 @@ def test_long_documents_come_out_whole(spark):
     assert [len(r.definition) for r in documents.definitions(df, "id", "md").collect()] == [600] * 25
     got = {(r.id, r.row_type): r for r in documents.extract(df, "id", "md").collect()}
     assert got["a", "section"].body == body and got["a", "section"].thresholds == ", ".join(str(i + 10) for i in range(9))
+
+
+def test_a_service_is_read_to_its_last_page(spark, tmp_path):
+    service = "def fetch(url, page=1, size=100, since=None):\n    lo = (page - 1) * size\n    return {'data': [{'n': i} for i in range(lo, min(250 if since else 1205, lo + size))]}\n"
+    module = tmp_path / "many_pages.py"
+    module.write_text(service)
+    spark.sparkContext.addPyFile(str(module))
+    scope: dict = {}
+    exec(service, scope)
+    assert len(list(connectors.pages(scope["fetch"], "u", size=10))) == 1205
+    assert len(list(connectors.pages(scope["fetch"], "u", last=121, size=10))) == 1205
+    with pytest.raises(RuntimeError, match="more than the 120 pages"):
+        list(connectors.pages(scope["fetch"], "u", last=120, size=10))
+    con = connectors.connector(spark, "rest", fetch="many_pages:fetch", size=10)
+    assert con.pull_full("u").distinct().count() == con.pull_full("u").count() == 1205
+    assert con.pull_delta("u", since="1").count() == 250
+
+
+@pytest.mark.parametrize("n", [49, 100, 849])
+def test_a_delta_in_one_reply_is_read_once(n):
+    assert len(list(connectors.pages(lambda url, **p: {"items": [{"n": i} for i in range(n)]}, "u", since="1"))) == n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from abc import ABC, abstractmethod
@@ -111,23 +112,39 @@ def http_page(url: str, **parameters: object) -> object:
         return json.load(reply)
 
 
-MAX_PAGES, PAGE_SIZE = 100, 100
+#: Ranges of pages are read in parallel up to this page, the rest by one open-ended partition.
+SPLIT_PAGES, PAGE_SIZE = 100, 100
 
 
-def pages(fetch: Callable[..., object], url: str, first: int = 1, last: int = MAX_PAGES, size: int = PAGE_SIZE, data_path: str | None = None, **more: object) -> Iterator[object]:
-    """The records of pages ``first`` to ``last``: stops at an empty page, a list body, or a short page without ``next``."""
-    for page in range(first, last + 1):
+def pages(fetch: Callable[..., object], url: str, first: int = 1, last: int | None = None, size: int = PAGE_SIZE, data_path: str | None = None, part: bool = False, **more: object) -> Iterator[object]:
+    """The records from page ``first`` on: stops at an empty page, a list body, or a page of another size without ``next``.
+
+    Records beyond ``last`` are an error, unless this is a ``part`` of the pages and others read on. A service
+    that gives the same page again does not page: without ``next`` that is the end, with it an error.
+    """
+    before = None
+    for page in itertools.count(first):
+        if part and last is not None and page > last:
+            return
         body = fetch(url, page=page, size=size, **more)
         found = records_of(body, data_path)
+        again = bool(found) and found == before
+        if again and body.get("next"):
+            raise RuntimeError(f"{url} gives page {page - 1} again as page {page} and names more")
+        if not found or again:
+            return
+        if last is not None and page > last:
+            raise RuntimeError(f"{url} has more than the {last} pages allowed")
         yield from found
-        if not found or isinstance(body, list) or (not body.get("next") and len(found) < size):
+        if isinstance(body, list) or (not body.get("next") and len(found) != size):
             return
+        before = found
 
 
 class RestSource(DataSource):
     """Records of a paged REST service as JSON text, one partition for each range of pages.
 
-    Options: url, size, pages, pages_a_partition, since; ``fetch`` is the name module:function of a
+    Options: url, size, pages (most pages, by default all), pages_a_partition, since; ``fetch`` is the name module:function of a
     function (url, **parameters) -> body, by default over HTTP.
     """
 
@@ -156,8 +173,8 @@ def _fetcher(options) -> Callable[..., object]:
 
 
 class _Pages(InputPartition):
-    def __init__(self, first: int, last: int) -> None:
-        super().__init__((first, last))
+    def __init__(self, first: int, last: int | None, part: bool) -> None:
+        super().__init__((first, last, part))
 
 
 class _RestReader(DataSourceReader):
@@ -165,13 +182,17 @@ class _RestReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[InputPartition]:
-        n, step = int(self.options.get("pages", MAX_PAGES)), int(self.options.get("pages_a_partition", 10))
-        return [_Pages(i, min(n, i + step - 1)) for i in range(1, n + 1, step)]
+        most = int(self.options["pages"]) if "pages" in self.options else None
+        if "since" in self.options:  # a delta may come in one reply whatever page is asked for
+            return [_Pages(1, most, False)]
+        n, step = most or SPLIT_PAGES, int(self.options.get("pages_a_partition", 10))
+        ranges = [_Pages(i, min(n, i + step - 1), most is None or i + step <= n) for i in range(1, n + 1, step)]
+        return ranges if most else [*ranges, _Pages(n + 1, None, False)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        first, last = partition.value
+        first, last, part = partition.value
         more = {"since": self.options["since"]} if "since" in self.options else {}
-        for r in pages(_fetcher(self.options), self.options.get("url", ""), first, last, int(self.options.get("size", PAGE_SIZE)), self.options.get("data_path"), **more):
+        for r in pages(_fetcher(self.options), self.options.get("url", ""), first, last, int(self.options.get("size", PAGE_SIZE)), self.options.get("data_path"), part, **more):
             yield (json.dumps(r, ensure_ascii=False, sort_keys=True),)
 
 
@@ -185,8 +206,8 @@ class _RestStream(SimpleDataSourceStreamReader):
         return {"since": self.options.get("since", "")}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        body = _fetcher(self.options)(self.options.get("url", ""), since=start["since"])
-        found = records_of(body, self.options.get("data_path"))
+        o = self.options
+        found = list(pages(_fetcher(o), o.get("url", ""), size=int(o.get("size", PAGE_SIZE)), data_path=o.get("data_path"), since=start["since"]))
         key = self.options.get("key", "updated_at")
         latest = max([str(r.get(key, "")) for r in found], default=start["since"])
         return iter([(json.dumps(r, ensure_ascii=False, sort_keys=True),) for r in found]), {"since": max(latest, start["since"])}
@@ -212,7 +233,7 @@ class RestConnector(Connector):
         return self._load(url=resource)
 
     def pull_delta(self, resource: str, watermark: str | None = None, since: object = None) -> DataFrame:
-        return self._load(url=resource, pages=1, since=since) if since is not None else self.pull_full(resource)
+        return self._load(url=resource, since=since) if since is not None else self.pull_full(resource)
 
 
 class MongoSource(DataSource):
