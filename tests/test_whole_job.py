@@ -2,7 +2,7 @@
 
 import pytest
 
-from tributary.operators import documents
+from tributary.operators import documents, graph
 from tributary.queries import flows, joins
 from tributary.queries.registry import view
 from tributary.sources import connectors
@@ -74,3 +74,11 @@ def test_a_service_is_read_to_its_last_page(spark, tmp_path):
 @pytest.mark.parametrize("n", [49, 100, 849])
 def test_a_delta_in_one_reply_is_read_once(n):
     assert len(list(connectors.pages(lambda url, **p: {"items": [{"n": i} for i in range(n)]}, "u", since="1"))) == n
+
+
+def test_distances_reach_the_end_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"v{i:02}", f"v{i + 1:02}") for i in range(55)], "source_entity string, target_entity string")
+    start = spark.createDataFrame([("v00",)], "id string")
+    assert {r.id: r.hops for r in graph.distances(edges, start).collect()} == {f"v{i:02}": i for i in range(56)}
+    with pytest.raises(RuntimeError, match="more than 3 steps"):
+        graph.distances(edges, start, 3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,21 +72,27 @@ def neighbourhood(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     return seen
 
 
-def distances(edges: DataFrame, start: DataFrame, max_hops: int = 50) -> DataFrame:
-    """(id, hops, parent): breadth-first search from ``start`` (id); the parent is the smallest of the level before."""
+def distances(edges: DataFrame, start: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """(id, hops, parent): breadth-first search from ``start`` (id); the parent is the smallest of the level before.
+
+    Vertices further than ``max_hops`` away are an error; without it all that can be reached are found.
+    """
     pairs = cut(undirected(edges))
     frontier = start.select("id").distinct().select("id", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("parent"))
     seen = frontier
-    for hop in range(1, max_hops + 1):
+    for hop in itertools.count(1):
         step = pairs.join(frontier.select(F.col("id").alias("a")), "a").join(seen.select(F.col("id").alias("b")), "b", "left_anti").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("parent"))
         frontier = cut(step.select("id", F.lit(hop).alias("hops"), "parent"))
         if frontier.isEmpty():
             return seen
+        if max_hops is not None and hop > max_hops:
+            raise RuntimeError(f"there are vertices more than {max_hops} steps away")
         seen = seen.unionByName(frontier)
-    return seen
+        if hop % 20 == 0:
+            seen = cut(seen)  # else the plan grows with the length of the path
 
 
-def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 50) -> list[str] | None:
+def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int | None = None) -> list[str] | None:
     """The vertices of a shortest path, null where there is none."""
     spark = edges.sparkSession
     seen = distances(edges, spark.createDataFrame([(source,)], "id string"), max_hops)
