@@ -82,3 +82,10 @@ def test_distances_reach_the_end_of_a_long_chain(spark):
     assert {r.id: r.hops for r in graph.distances(edges, start).collect()} == {f"v{i:02}": i for i in range(56)}
     with pytest.raises(RuntimeError, match="more than 3 steps"):
         graph.distances(edges, start, 3)
+
+
+def test_links_reach_purchase_orders_of_every_load(spark, tmp_path):
+    spark.createDataFrame([("l1", " A ")], "row_id string, `产品编码` string").write.parquet(f"{tmp_path}/logistics_fulfillment.parquet")
+    spark.createDataFrame([("p1", "A", 1), ("p2", "A", 2), ("p3", "B", 2)], "row_id string, `物料编码` string, load_no int").write.parquet(f"{tmp_path}/purchase_orders.parquet")
+    got = joins.q.queries["joi_05_link_mapping"](spark, str(tmp_path)).collect()
+    assert sorted((r.source, r.target) for r in got) == [("l1", "p1"), ("l1", "p2")]

@@ -41,7 +41,7 @@ def _(T):
 @q("joi_05_link_mapping", "SELECT DISTINCT l.row_id AS source, p.row_id AS target FROM logistics_fulfillment l JOIN purchase_orders p ON trim(l.\"产品编码\") = trim(p.\"物料编码\") AND p.load_no = 1")
 def _(T):
     s = T("logistics_fulfillment").select(c("row_id").alias("source"), F.trim("产品编码").alias("k"))
-    t = T("purchase_orders").filter("load_no = 1").select(c("row_id").alias("target"), F.trim("物料编码").alias("k"))
+    t = T("purchase_orders").select(c("row_id").alias("target"), F.trim("物料编码").alias("k"))
     return s.join(t, "k").select("source", "target").distinct()
 
 
