@@ -62,3 +62,17 @@ def test_copies_of_a_garbled_value_are_no_evidence_for_it(spark):
     rows = repair(df, "text", character_counts(df)).collect()
     assert [(r.garbled, r.restored) for r in rows if r.text == wrong] == [(True, "采购部")] * 100
     assert not any(r.garbled for r in rows if r.text != wrong)
+
+
+@pytest.mark.parametrize(("text", "kept"), [("安全环保部", "全"), ("法务合规部", "规部"), ("设备维护部", "备维"), ("采购部", "ɹ"), ("海外业务部", "业")])
+def test_bytes_that_survived_are_restored(text, kept):
+    fix = Repair(COUNTS | {ord(c): 500 for c in "安全环保法务合规设备维护部采购海外业务"})
+    wrong = text.encode("gbk").decode("utf-8", "replace")
+    garbled, restored = fix(wrong)
+    assert garbled and restored.replace(LOST, "") == kept
+    assert fix("正常" + LOST + "的文字，500m²" + LOST)[1] == "正常" + LOST + "的文字，500m²" + LOST
+
+
+def test_a_trace_of_lost_text_spares_other_passages(fix):
+    passage = "供应链运营".encode().decode("gb18030", "ignore")
+    assert fix(f"锟斤拷锟斤拷 abc {passage}\n")[1].startswith("锟斤拷锟斤拷 abc 供应链运")

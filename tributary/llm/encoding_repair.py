@@ -23,6 +23,7 @@ Defined results
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,6 +40,9 @@ from tributary.plans.ship import ship
 SINGLE_BYTE = ("latin-1", "cp1252", "mac_roman")
 LOST = "�"
 MAX_LEVELS = 4
+#: A run behind a replacement character; a run that has traces of replacement characters read as GBK.
+SURVIVOR = re.compile(f"{LOST}([^\\x00-\\x7f{LOST}]+)")
+MARKED = re.compile("([^\\x00-\\x7f]*[锟拷][^\\x00-\\x7f]*)")
 
 
 def single(raw: bytes, encoding: str) -> str:
@@ -340,6 +344,47 @@ class Repair:
             self.cache[text] = self._judge(text)
         return self.cache[text]
 
+    def _survived(self, text: str) -> str:
+        """GB 18030 read as UTF-8: hanzi whose two bytes survived behind a replacement character.
+
+        A run counts if it has a character of two bytes and gives common hanzi only. Its bytes pair up by the
+        number of bytes before it, or by its end where no replacement character follows. A replacement character may
+        stand for several bytes, so the other way is tried where the first gives no common hanzi.
+        """
+
+        def fix(m: re.Match) -> str:
+            run = m[1]
+            last = max((i for i, c in enumerate(run) if "\x80" <= c < "\u0800"), default=-1)
+            if last < 0:
+                return m[0]
+            upto = len(run) if len(run) - last <= 3 else last + 1
+            raw, begin = run[:upto].encode("utf-8", "ignore"), m.start()
+            while begin and not text[begin - 1].isascii():
+                begin -= 1
+            begin = text.index(LOST, begin)
+            at = len(text[begin : m.start(1)].replace(LOST, "?").encode("utf-8", "ignore")) % 2
+            if upto == len(run) and text[m.end() : m.end() + 1] != LOST:
+                at = len(raw) % 2
+            for shift in (at, 1 - at):
+                pairs = [raw[k : k + 2].decode("gb2312", "ignore") for k in range(shift, len(raw) - 1, 2)]
+                half = (len(raw) - shift) % 2
+                if not pairs or half and (upto < len(run) or text[m.end() : m.end() + 1] != LOST):
+                    break
+                got = "".join(pairs)
+                if all(len(c) == 1 and self.prior[ord(c)] == 3 for c in pairs) and self._mean(got) > self._mean(run[: last + 1]):
+                    return LOST + got + LOST * half + run[upto:]
+            return m[0]
+
+        return SURVIVOR.sub(fix, text)
+
+    def _marked(self, run: str) -> str:
+        """A run with traces of replacement characters read as GBK: undone if that restores characters."""
+        if LOST in run:
+            return run  # how many bytes are gone is not known
+        undone = run.encode("gb18030", "ignore").decode("utf-8", "replace")
+        now = self._survived(undone)
+        return now if now != undone else run
+
     def _judge(self, text: str) -> tuple[bool, str]:
         garbled = LOST in text
         marks = [v[1] for _, v in lost_as_gb().iter(text)] if "锟" in text or "拷" in text else []
@@ -350,10 +395,16 @@ class Repair:
             now = self._single(now)
             if now == before:
                 break
-        if not marks:
-            now, changed = self._gb(now)
+        lost = any(marks) or len(marks) > 1
+        parts = MARKED.split(now) if lost else [now]
+        for i in range(0, len(parts), 2):
+            parts[i], changed = self._gb(parts[i])
             garbled |= changed
-            now = self._big5(now)
+            parts[i] = self._big5(parts[i])
+        parts[1::2] = map(self._marked, parts[1::2])
+        now = "".join(parts)
+        if LOST in text:
+            now = self._survived(now)
         return garbled or now != text, now
 
 
