@@ -51,6 +51,8 @@ WEIGHTS = (1, 2, 1)
 WORDS = (0.004, 4, 3.5)
 #: The same for the affixes of names that have no legal form, place or line of business.
 AFFIXES = (0.025, 5, 2.5)
+#: An affix is this many times as common beside bare names as at the same end of the brands of full ones.
+RARER = 5
 #: A word that extends another has at least this share of its names.
 EXTENSION = 0.25
 LONGEST_HEAD, LONGEST_TAIL, LONGEST_LATIN = 4, 6, 3
@@ -212,7 +214,7 @@ def _pieces(s: str, latin: bool) -> tuple[list[str], bool]:
 
 
 def _affixes(name: str, words: Vocabulary | None) -> set[tuple[str, str, str]]:
-    """(head or tail, beginning or end, what is next to it) of a name; with words, of a bare name only."""
+    """(head or tail, beginning or end, what is next to it) of a name; with words, of a bare name or of the brand of a full one."""
     s, latin = normal(name)
     pieces, bare = _pieces(s, latin)
     out: set[tuple[str, str, str]] = set()
@@ -220,11 +222,15 @@ def _affixes(name: str, words: Vocabulary | None) -> set[tuple[str, str, str]]:
         if latin and words is None:
             t = p.split()
             out |= {("tail", " ".join(t[-n:]), t[-n - 1]) for n in range(1, min(LONGEST_LATIN, len(t) - 1) + 1)}
-        elif not latin and (words is None or bare and not words.head(p, words.places, 2) and not words.tail(p, words.businesses, 2)):
-            shortest = 2 if words is None else 1
-            out |= {("head", p[:n], p[n]) for n in range(shortest, min(LONGEST_HEAD, len(p) - 1) + 1)}
-            out |= {("tail", p[-n:], p[-n - 1]) for n in range(shortest, min(LONGEST_TAIL, len(p) - 1) + 1)}
-    return out | {("name", "", "")} if out else out
+        elif not latin:
+            of, shortest = "", 2
+            if words is not None:
+                place, brand, business = _parse_han(s, words)
+                of, shortest = ("" if bare and not place and not business else "brand "), 1
+                p = brand if of else p
+            out |= {(of + "head", p[:n], p[n]) for n in range(shortest, min(LONGEST_HEAD, len(p) - 1) + 1)}
+            out |= {(of + "tail", p[-n:], p[-n - 1]) for n in range(shortest, min(LONGEST_TAIL, len(p) - 1) + 1)}
+    return out | {("brand name" if any(x[0].startswith("brand") for x in out) else "name", "", "")} if out else out
 
 
 def _learnt(names: DataFrame, name: str, limits: tuple[float, int, float], words: Vocabulary | None = None) -> tuple[frozenset[str], frozenset[str]]:
@@ -238,14 +244,16 @@ def _learnt(names: DataFrame, name: str, limits: tuple[float, int, float], words
     beside = names.select(F.explode(affixes(name)).alias("a")).groupBy("a.side", "a.word", "a.next").agg(F.count("*").alias("k"))
     per = beside.groupBy("side", "word").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log("k")).alias("h"))
     spread = F.exp(F.log("n") - F.col("h") / F.col("n"))
-    total = F.broadcast(per.filter("side = 'name'").select(F.col("n").alias("total")))  # one row
-    often = per.crossJoin(total).filter(F.col("n") >= F.greatest(F.lit(float(least)), share * F.col("total")))
-    rows = often.filter((F.col("side") != "name") & (spread >= perplexity)).select("side", "word", "n").collect()
+    of_brand = F.startswith("side", F.lit("brand"))
+    total = F.broadcast(per.agg(*[F.coalesce(F.max(F.when(F.col("side") == x, F.col("n"))), F.lit(0)).alias(y) for x, y in (("name", "total"), ("brand name", "brands"))]))  # one row
+    often = F.when(of_brand, F.col("n") >= share / RARER * F.col("brands")).otherwise((F.col("n") >= F.greatest(F.lit(float(least)), share * F.col("total"))) & (spread >= perplexity))
+    rows = per.crossJoin(total).filter(often & (F.col("word") != "")).select("side", "word", "n", (F.col("n") / F.when(of_brand, F.col("brands")).otherwise(F.col("total"))).alias("share")).collect()
     n = {(r.side, r.word): r.n for r in rows}
+    shares = {(r.side, r.word): r.share for r in rows}
 
     def own(side: str, word: str) -> bool:
         inner = (word[:k] if side == "head" else word[-k:] for k in range(1, len(word)))
-        return all(n[side, word] >= EXTENSION * n.get((side, w), 0) for w in inner)
+        return shares[side, word] >= RARER * shares.get((f"brand {side}", word), 0) and all(n[side, word] >= EXTENSION * n.get((side, w), 0) for w in inner)
 
     return tuple(frozenset(w for s, w in n if s == side and own(s, w)) for side in ("head", "tail"))
 
