@@ -46,6 +46,11 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(files, "file_id", "converted_md")
 
 
+def p3_reassembled(spark: SparkSession, d: str) -> DataFrame:
+    whole = split.reassembled(p3_pieces(spark, d), "file_id")
+    return whole.select("file_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"), "fits", "shared")
+
+
 def company_names(spark: SparkSession, d: str) -> DataFrame:
     """Every company name of the three fields, with repeats."""
     return (
@@ -102,10 +107,11 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p6_found, p6_entities, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p3_reassembled, p6_found, p6_entities, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_forms)}
 
 SQL = {
     "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
+    "p3_reassembled": "SELECT id AS file_id, md5(converted_md) AS text_md5, length(converted_md) AS n_chars, true AS fits, true AS shared FROM uploaded_files WHERE length(converted_md) > 4000",
     "p3_found": """
 SELECT id AS file_id, CASE WHEN list_max(list_transform(regexp_split_to_array(converted_md, '[\\n\\r\\t 。！？；，、.!?;,]'), lambda x: length(x))) > 4000 THEN 'forced' ELSE 'boundary' END AS cut
 FROM uploaded_files WHERE length(converted_md) > 4000""",
