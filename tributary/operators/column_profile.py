@@ -83,8 +83,6 @@ def mask_table(vals: DataFrame, load: list[str], forms: dict = FORMS) -> DataFra
             F.sum(F.when(F.lower("text").isin("true", "false"), n).otherwise(0)).alias("n_boolean"),
             F.min("number").alias("min_number"),
             F.max("number").alias("max_number"),
-            F.min("text").alias("min_text"),
-            F.max("text").alias("max_text"),
         )
         .withColumn("fits", _fits(F.col("mask"), F.col("column_name"), forms))
     )
@@ -103,8 +101,6 @@ def profile(masks: DataFrame, load: list[str]) -> DataFrame:
         some("n_boolean").alias("n_boolean"),
         F.min("min_number").alias("min_number"),
         F.max("max_number").alias("max_number"),
-        F.min("min_text").alias("min_text"),
-        F.max("max_text").alias("max_text"),
         F.sum(F.when(F.col("fits") == F.lit(False), F.col("n")).otherwise(0)).alias("n_violations"),
     )
     full = F.col("rows") - F.col("null_count")
@@ -147,14 +143,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(other, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], how).drop(*[f"__{k}" for k in keys])
 
 
-def findings(vals: DataFrame, recorded: DataFrame, feed: str = "feed", load_no: str = "load_no", ranged: list[str] = RANGED, categories: list[str] = CATEGORIES, forms: dict = FORMS) -> DataFrame:
-    """(feed, load_no, column_name, finding) of every load and column."""
+def findings(vals: DataFrame, recorded: DataFrame, feed: str = "feed", load_no: str = "load_no", ranged: list[str] = RANGED, categories: list[str] = CATEGORIES, forms: dict = FORMS, of_categories: DataFrame | None = None) -> DataFrame:
+    """(feed, load_no, column_name, finding) of every load and column.
+
+    ``of_categories`` may give the values of the category columns from a scan of these alone, which
+    reads far less than ``vals`` does.
+    """
     load = [feed, load_no]
+    of_categories = vals if of_categories is None else of_categories
     masks = mask_table(vals, load, forms)
     now = cut(profile(masks, load))  # one row a load and column, which is read twice below
     before = now.select(feed, (F.col(load_no) + 1).alias(load_no), "column_name", F.struct("null_pct", "inferred_type", "distinct_count", "min_number", "max_number").alias("b"))
     drift = divergence(
-        vals.filter(F.col("column_name").isin(categories) & (F.trim("value") != "")).groupBy(*load, "column_name", F.trim("value").alias("value")).agg(F.sum("n").alias("n")), feed, load_no, "value"
+        of_categories.filter(F.col("column_name").isin(categories) & (F.trim("value") != "")).groupBy(*load, "column_name", F.trim("value").alias("value")).agg(F.sum("n").alias("n")), feed, load_no, "value"
     )
     record = recorded.select(F.col(feed), F.col(load_no), F.col("name").alias("column_name"), F.struct("null_count", "null_pct", "distinct_count", "inferred_type").alias("r"))
     keys = [feed, load_no, "column_name"]
@@ -182,17 +183,35 @@ def findings(vals: DataFrame, recorded: DataFrame, feed: str = "feed", load_no:
     return x.select(*keys, F.explode(hits).alias("finding")).distinct()
 
 
+def rare_masks(masks: DataFrame, load: list[str], dominant: float = 0.05) -> DataFrame:
+    """``masks`` of non-blank values with ``total``, the number of those, and ``dominant``, whether the mask has its share of them."""
+    filled = masks.filter(F.col("mask").isNotNull())
+    totals = filled.groupBy(*load, "column_name").agg(F.sum("n").alias("total"))
+    return null_safe_join(filled, totals, [*load, "column_name"]).withColumn("dominant", F.col("n") >= dominant * F.col("total"))
+
+
+def rare_values(vals: DataFrame, load: list[str], dominant: float = 0.05, forms: dict = FORMS) -> DataFrame:
+    """(load..., column_name, mask, value, n): the values behind the rare masks of each load and column.
+
+    A rare mask has a value in fewer than ``dominant`` of the rows, so the values that are joined to the
+    mask table are the few violations; the hot ones are all behind dominant masks.
+    """
+    keys = [*load, "column_name", "mask"]
+    rare = rare_masks(mask_table(vals, load, forms), load, dominant).filter(~F.col("dominant")).select(*keys)
+    text = F.nullif(F.trim("value"), F.lit(""))
+    masked = vals.filter(text.isNotNull()).withColumn("mask", _mask_keeping(text, F.col("column_name"), forms))
+    return null_safe_join(masked, rare, keys, "left_semi").select(*keys, "value", "n")
+
+
 def pattern_report(vals: DataFrame, feed: str = "feed", load_no: str = "load_no", dominant: float = 0.05, forms: dict = FORMS) -> DataFrame:
     """Mined patterns: each load and column's dominant masks, its rare-mask values and its mask divergence.
 
     A mask is dominant where it has the share ``dominant`` of the non-blank values or more; all other
     masks are rare. ``divergence`` compares the mask distribution with that of the load before.
     """
-    masks = mask_table(vals, [feed, load_no], forms).filter(F.col("mask").isNotNull())
-    totals = masks.groupBy(feed, load_no, "column_name").agg(F.sum("n").alias("total"))
+    masks = cut(mask_table(vals, [feed, load_no], forms).filter(F.col("mask").isNotNull()))
     keys = [feed, load_no, "column_name"]
-    j = null_safe_join(masks, totals, keys)
-    big = F.col("n") >= dominant * F.col("total")
+    j, big = rare_masks(masks, [feed, load_no], dominant), F.col("dominant")
     out = j.groupBy(*keys).agg(
         F.max("total").alias("filled"),
         F.count("*").alias("masks"),

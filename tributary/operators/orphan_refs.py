@@ -4,8 +4,9 @@ Keys are placed in equal ranges of a 64-bit hash, so that the ranges need no sam
 the same number of parents whatever the keys look like. Each cell (range, salt) streams its parents
 first, in order, which gives one sorted array; the references that follow are probed batch by batch
 with a vectorised binary search and the key itself is compared. A task holds the parents of one range
-and one batch of references, never all references of a key: references are spread over ``salts``, and
-the parents of a range, which are pre-aggregated to one row a key, are repeated for each salt.
+and one batch of references, never all references of a key: the references of each range are counted
+first, those of a range with more than a cell should have are spread over as many salts as they need,
+and the parents of that range, which are pre-aggregated to one row a key, are repeated for each salt.
 
 Defined results
 * null references, and references that are empty without their outer white space, are no cases;
@@ -53,11 +54,20 @@ def latest_version(entities: DataFrame) -> DataFrame:
     return entities.groupBy(identifier(F.col("id")).alias("id")).agg(F.max(order).alias("v")).select("id", "v.ontology_id", "v.name_cn", "v.created_at", "v.deleted_at")
 
 
-def parent_keys(rows: DataFrame, space: str, key: Column, scope: Column | None = None) -> DataFrame:
-    """(key, first_live): when the earliest undeleted match was created, null where all are deleted."""
-    full = F.concat_ws("\u0001", F.lit(space), F.coalesce(scope, F.lit("")) if scope is not None else F.lit(""), key)
+def _full(space: str, key: Column, scope: Column | None = None) -> Column:
+    return F.concat_ws("\u0001", F.lit(space), F.coalesce(scope, F.lit("")) if scope is not None else F.lit(""), key)
+
+
+def parent_rows(rows: DataFrame, *names: tuple[str, Column, Column | None]) -> DataFrame:
+    """(key, live) of every row under each of its names (space, key, scope): live is null where it is deleted."""
     live = F.when(F.col("deleted_at").isNull(), F.coalesce(F.col("created_at").cast("timestamp_ntz"), F.lit(ALWAYS).cast("timestamp_ntz")))
-    return rows.filter(key.isNotNull() & (key != "")).groupBy(full.alias("key")).agg(F.min(live).alias("first_live"))
+    keys = [F.when(key != "", _full(space, key, scope)) for space, key, scope in names]
+    return rows.select(F.explode(F.array(*keys)).alias("key"), live.alias("live")).filter(F.col("key").isNotNull())
+
+
+def parent_keys(rows: DataFrame) -> DataFrame:
+    """(key, first_live): when the earliest undeleted match was created, null where all are deleted."""
+    return rows.groupBy("key").agg(F.min("live").alias("first_live"))
 
 
 def references(rows: DataFrame, table: str, field: str, space: str, key, scope: Column | None = None, many: bool = False) -> DataFrame:
@@ -151,28 +161,43 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def orphans(parents: DataFrame, refs: DataFrame, n_parents: int | None = None, n_refs: int | None = None, parents_a_range: int = PARENTS_A_RANGE, references_a_cell: int = REFERENCES_A_CELL) -> DataFrame:
-    """(table_name, field_name, row_key, ref_key, kind, period) of every reference without a valid parent.
-
-    The numbers of parents and references only size the ranges and salts; give upper bounds where they
-    are cheaper to have than a count.
-    """
-    ship(parents)
-    n_parents, n_refs = parents.count() if n_parents is None else n_parents, refs.count() if n_refs is None else n_refs
+def placed(parents: DataFrame, refs: DataFrame, n_parents: int, parents_a_range: int = PARENTS_A_RANGE, references_a_cell: int = REFERENCES_A_CELL) -> DataFrame:
+    """Parents and references with the cell and salt they are to meet in, and nowhere twice."""
     bits = max(0, math.ceil(math.log2(max(1, n_parents / parents_a_range))))
-    salts = max(1, math.ceil(n_refs / references_a_cell / 2**bits))
     h = F.xxhash64("key")
     cell = F.shiftrightunsigned(h, 64 - bits).cast("int") if bits else F.lit(0)
+    # at most one row for each references_a_cell references, whatever the data
+    crowded = refs.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).filter(F.col("n") > references_a_cell).select("cell", F.ceil(F.col("n") / references_a_cell).cast("int").alias("salts")).collect()
+    salts = F.lit(1)
+    keyed_p, keyed_r = parents.withColumn("cell", cell), refs.withColumn("cell", cell)
+    if crowded:
+        few = F.broadcast(parents.sparkSession.createDataFrame([tuple(r) for r in crowded], "cell int, salts int"))
+        keyed_p, keyed_r = keyed_p.join(few, "cell", "left"), keyed_r.join(few, "cell", "left")
+        salts = F.coalesce("salts", F.lit(1))
     null = F.lit(None).cast("string")
-    side_p = parents.select(
-        cell.alias("cell"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("is_ref"), h.alias("h"), "key", F.col("first_live").alias("at"),
+    side_p = keyed_p.select(
+        "cell", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("is_ref"), h.alias("h"), "key", F.col("first_live").alias("at"),
         null.alias("table_name"), null.alias("field_name"), null.alias("row_key"), null.alias("ref_key"),
     )
-    side_r = refs.select(
-        cell.alias("cell"), F.pmod(F.xxhash64("row_key", "ref_key", "field_name"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("is_ref"), h.alias("h"), "key", F.col("created_at").alias("at"),
+    side_r = keyed_r.select(
+        "cell", F.pmod(F.xxhash64("row_key", "ref_key", "field_name"), salts).cast("int").alias("salt"), F.lit(1).alias("is_ref"), h.alias("h"), "key", F.col("created_at").alias("at"),
         "table_name", "field_name", "row_key", F.when(~F.endswith(F.col("key"), F.concat(F.lit("\u0001"), F.col("ref_key"))), F.col("ref_key")).alias("ref_key"),
     )
-    both = side_p.unionByName(side_r).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "is_ref", "h")
+    both = side_p.unionByName(side_r)
+    tasks = 2**bits + sum(r.salts - 1 for r in crowded)
+    if tasks > int(parents.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return both.repartition(tasks, "cell", "salt")
+    return both.repartition("cell", "salt")
+
+
+def orphans(parents: DataFrame, refs: DataFrame, n_parents: int | None = None, parents_a_range: int = PARENTS_A_RANGE, references_a_cell: int = REFERENCES_A_CELL) -> DataFrame:
+    """(table_name, field_name, row_key, ref_key, kind, period) of every reference without a valid parent.
+
+    The number of parents only sizes the ranges; give an upper bound where it is cheaper to have than a count.
+    """
+    ship(parents)
+    n_parents = parents.count() if n_parents is None else n_parents
+    both = placed(parents, refs, n_parents, parents_a_range, references_a_cell).sortWithinPartitions("cell", "salt", "is_ref", "h")
     schema = "table_name string, field_name string, row_key string, ref_key string, kind string, period string"
     return both.mapInArrow(_probe, schema).distinct()  # only the misses
 
@@ -181,16 +206,12 @@ def ontology_orphans(entities: DataFrame, rules: DataFrame, relations: DataFrame
     """The orphans among all references of relations and actions."""
     latest = latest_version(entities)
     scope = lambda df: identifier(df["ontology_id"])
-    parents = (
-        parent_keys(latest, "entity", F.col("id"))
-        .unionByName(parent_keys(latest, "name", clean(F.col("name_cn")), identifier(F.col("ontology_id"))))
-        .unionByName(parent_keys(rules, "rule", identifier(F.col("id"))))
-    )
+    named = ("name", clean(F.col("name_cn")), identifier(F.col("ontology_id")))
+    parents = parent_keys(parent_rows(latest, ("entity", F.col("id"), None), named).unionByName(parent_rows(rules, ("rule", identifier(F.col("id")), None))))
     refs = (
         references(relations, "relations", "source_entity", "entity", identifier)
         .unionByName(references(relations, "relations", "target_entity", "entity", identifier))
         .unionByName(references(actions, "actions", "linked_entities", "name", clean, scope(actions), many=True))
         .unionByName(references(actions, "actions", "linked_logic_ids", "rule", identifier, many=True))
     )
-    lists = actions.agg(F.sum(F.greatest(F.size("linked_entities"), F.lit(0)) + F.greatest(F.size("linked_logic_ids"), F.lit(0)))).first()[0] or 0
-    return orphans(parents, refs, 2 * entities.count() + rules.count(), 2 * relations.count() + lists, **sizes)
+    return orphans(parents, refs, 2 * entities.count() + rules.count(), **sizes)

@@ -45,7 +45,8 @@ def _values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return profile.findings(_values(spark, d), table(spark, d, "column_quality"))
+    of_categories = profile.values(table(spark, d, "purchase_orders"), profile.CATEGORIES, LOAD)
+    return profile.findings(_values(spark, d), table(spark, d, "column_quality"), of_categories=of_categories)
 
 
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +58,11 @@ def p5_patterns(spark: SparkSession, d: str) -> DataFrame:
     return profile.pattern_report(_values(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_orders, p1_report, p4_found, p4_report, p5_found, p5_profile, p5_patterns)}
+def p5_rare_values(spark: SparkSession, d: str) -> DataFrame:
+    return profile.rare_values(_values(spark, d), LOAD)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_orders, p1_report, p4_found, p4_report, p5_found, p5_profile, p5_patterns, p5_rare_values)}
 
 
 # SQL
@@ -148,6 +153,26 @@ found AS (
 
 _P5 = _p5_sql()
 
+_P5_MASKS = (
+    "WITH cells AS ("
+    + " UNION ALL ".join(f"SELECT feed, load_no, '{c}' AS column_name, \"{c}\" AS value FROM purchase_orders" for c in profile.COLUMNS)
+    + """),
+v AS (
+  SELECT feed, load_no, column_name, value, trim(value) AS t,
+    regexp_replace(translate(CASE WHEN column_name = '订单号' AND starts_with(trim(value), 'PO-') THEN substr(trim(value), 4) ELSE trim(value) END,
+      '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', '9999999999AAAAAAAAAAAAAAAAAAAAAAAAAAaaaaaaaaaaaaaaaaaaaaaaaaaa'), '\\p{Han}', '汉', 'g') AS rest
+  FROM cells WHERE trim(value) <> ''),
+m AS (SELECT *, CASE WHEN column_name = '订单号' AND starts_with(t, 'PO-') THEN 'PO-' || rest ELSE rest END AS mask FROM v),
+masks AS (SELECT feed, load_no, column_name, mask, count(*) AS n FROM m GROUP BY ALL),
+judged AS (SELECT *, sum(n) OVER (PARTITION BY feed, load_no, column_name) AS total, n >= 0.05 * sum(n) OVER (PARTITION BY feed, load_no, column_name) AS dominant FROM masks),
+pairs AS (
+  SELECT feed, load_no, column_name, mask, n / total AS now, 0 AS former FROM judged
+  UNION ALL SELECT feed, load_no + 1, column_name, mask, 0, n / total FROM judged),
+changed AS (SELECT feed, load_no, column_name, mask, sum(now) AS now, sum(former) AS former FROM pairs GROUP BY ALL),
+moved AS (SELECT feed, load_no, column_name, sum(abs(now - former)) / 2 AS divergence FROM changed GROUP BY ALL HAVING sum(now) > 0 AND sum(former) > 0)
+"""
+)
+
 SQL = {
     "p1_found": _P1 + "SELECT raw_id, reason FROM judged WHERE reason IS NOT NULL",
     "p1_orders": _P1 + "SELECT raw_id, " + ", ".join(_TYPED) + " FROM judged WHERE reason IS NULL",
@@ -155,5 +180,10 @@ SQL = {
     "p4_found": _P4 + "SELECT * FROM found",
     "p4_report": _P4 + "SELECT table_name, field_name, period, kind, count(*) AS n FROM found GROUP BY ALL",
     "p5_found": _P5 + "SELECT DISTINCT * FROM found",
+    "p5_patterns": _P5_MASKS + """
+SELECT j.feed, j.load_no, j.column_name, sum(n)::BIGINT AS filled, count(*) AS masks, count(*) FILTER (WHERE dominant) AS dominant_masks, max(struct_pack(n := n, mask := encode(mask))).n AS top_count,
+  decode(max(struct_pack(n := n, mask := encode(mask))).mask) AS top_mask, coalesce(sum(n) FILTER (WHERE NOT dominant), 0)::BIGINT AS rare_values, round(any_value(d.divergence), 6) AS mask_divergence
+FROM judged j LEFT JOIN moved d ON d.feed = j.feed AND d.load_no = j.load_no AND d.column_name = j.column_name GROUP BY j.feed, j.load_no, j.column_name""",
+    "p5_rare_values": _P5_MASKS + "SELECT feed, load_no, column_name, mask, m.value, count(*) AS n FROM m JOIN judged USING (feed, load_no, column_name, mask) WHERE NOT dominant GROUP BY feed, load_no, column_name, mask, m.value",
     "p5_profile": _P5 + "SELECT feed, load_no, column_name, rows, null_count, round(null_pct, 6) AS null_pct, distinct_count, inferred_type, min_number, max_number, n_violations FROM profile",
 }
