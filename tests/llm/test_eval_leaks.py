@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from tributary.llm.eval_leaks import Items, leaks, myers, normal
+from tributary.llm.eval_leaks import Items, budget, leaks, myers, normal
 
 
 def distance(p, t):
@@ -58,3 +59,43 @@ def test_empty(spark):
     assert leaks(df.limit(0), it).count() == 0
     assert leaks(df, it.limit(0)).count() == 0
     assert not Items([]).ids
+
+
+@pytest.mark.parametrize("n,least", [(24, 25), (25, 25), (60, 25), (100, 25), (300, 25), (400, 40)])
+def test_budget_is_the_most_edits_that_prove_a_leak(n, least):
+    k = budget(n, least)
+    proven = lambda e: n - e - (e + 1) * (least - 1) >= 0.4 * n
+    assert (k < 0 or proven(k)) and not proven(k + 1)
+
+
+def test_myers_decides_within_the_budget(monkeypatch):
+    r = random.Random(5)
+    p = "".join(r.choices("甲乙丙丁戊己庚辛壬癸子丑寅卯", k=300))
+    items = Items([(1, "zh", p)])
+    k = items.budget[0]
+    assert k >= 5 and len(p) // items.piece[0] > k
+    at = sorted(r.sample(range(300), k))
+    typed = "".join("#" if i in at else c for i, c in enumerate(p)).replace("#", "换")
+
+    def hits(doc):
+        return [(e + 1 - n, where) for e, (n, where) in items.automaton.iter(doc)]
+
+    monkeypatch.setattr(Items, "measured", lambda *a: 0.0)
+    codes = lambda t: np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    assert [x[:1] + x[2:3] for x in items.leaks(codes("前文" + typed), hits("前文" + typed))] == [(1, k)]
+    assert not list(items.leaks(codes(p[:150]), hits(p[:150])))
+
+
+def test_bound_loses_no_copy_within_the_budget():
+    r = random.Random(6)
+    for _ in range(200):
+        p = "".join(r.choices("abcdefghijklmnop", k=r.randint(25, 400)))
+        items = Items([(1, "zh", p)])
+        if items.budget[0] < 0:
+            continue
+        typed = list(p)
+        for i in r.sample(range(len(p)), items.budget[0]):
+            typed[i] = "z"
+        typed = "".join(typed)
+        hits = [(e + 1 - n, where) for e, (n, where) in items.automaton.iter(typed)]
+        assert [x[0] for x in items.leaks(np.frombuffer(typed.encode("utf-32-le"), np.uint32), hits)] == [1]

@@ -1,12 +1,16 @@
 """Evaluation passages leaking into training text: pigeonhole pieces and Myers verification.
 
 Passages and documents are reduced to their letters and digits (compatibility forms folded, letter
-case and everything else dropped) by one table gather over a whole Arrow batch. A passage is split into
-pieces of q = (L + 1) // 2 characters, so that by the pigeonhole principle every unbroken stretch of L
-characters holds a whole piece, and k + 1 pieces survive k edits somewhere. One automaton finds exact
-piece hits in all documents. A document in which fewer pieces hit than the least share needs is
-dismissed by a bound that loses none; for the others the Myers bit-parallel distance of the passage to
-the hit window proves copies with few edits, and an exact measure of the stretches decides the rest.
+case and everything else dropped) by one table gather over a whole Arrow batch. A passage of n letters
+that must keep the share s in unbroken stretches of L letters has an error budget k: with k edits at
+most, the k + 1 unbroken parts lose no more than L - 1 letters each where they are too short, so as long
+as n - k - (k + 1)(L - 1) >= s n the passage is leaked wherever those edits are. It is split into k + 1
+pieces or more, of at most (L + 1) // 2 letters, so that by the pigeonhole principle a copy within the
+budget holds a whole piece, and so does every unbroken stretch of L letters. One automaton finds exact
+piece hits in all documents. A document in which fewer pieces hit than the share needs is dismissed by a
+bound that loses none. For the others the Myers bit-parallel distance of the passage to the hit window
+decides: within the budget it is a leak. Only beyond it, where parts of a passage may lie anywhere in
+any order, are the stretches measured exactly.
 
 The corpus is only scanned, never shuffled. The items are the small side: they are read in blocks of a
 bounded number of pieces, and each block is one scan.
@@ -38,7 +42,7 @@ from tributary.plans.ship import ship
 SHARE = 0.4
 STRETCH = {"zh": 25}
 STRETCH_ELSE = 40
-PIECES_A_BLOCK = 60_000
+PIECES_A_BLOCK = 250_000
 
 
 @lru_cache(1)
@@ -79,6 +83,11 @@ def normal(text: str) -> str:
     return letters(cps, np.array([0, len(cps)]))[0].tobytes().decode("utf-32-le")
 
 
+def budget(n: int, least: int, share: float = SHARE) -> int:
+    """The most edits after which ``share`` of n letters is still in unbroken stretches of ``least``; -1 if none may be."""
+    return max(-1, int((n - share * n - least + 1) // least)) if n >= least else -1
+
+
 def myers(pattern: str, text: str) -> int:
     """The least edit distance of ``pattern`` to any stretch of ``text``, bit-parallel."""
     m = len(pattern)
@@ -111,22 +120,23 @@ class Items:
     """A block of evaluation items with the automaton of their pieces."""
 
     def __init__(self, rows: list[tuple[object, str, str]], share: float = SHARE) -> None:
-        self.ids, self.text, self.codes, self.stretch, self.piece, self.need = [], [], [], [], [], []
+        self.ids, self.text, self.codes, self.stretch, self.piece, self.need, self.budget = [], [], [], [], [], [], []
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item, lang, passage in rows:
             p = normal(passage or "")
             least = STRETCH.get(lang, STRETCH_ELSE)
             if len(p) < least:
                 continue
-            q = (least + 1) // 2
-            k = len(self.ids)
+            k, edits = len(self.ids), budget(len(p), least, share)
+            q = min((least + 1) // 2, len(p) // (edits + 1)) if edits >= 0 else (least + 1) // 2
             self.ids.append(item)
             self.text.append(p)
             self.codes.append(np.frombuffer(p.encode("utf-32-le"), np.uint32))
             self.stretch.append(least)
             self.piece.append(q)
-            # a piece accounts for at most 3q - 2 covered characters
-            self.need.append(max(1, math.ceil(share * len(p) / (3 * q - 2))))
+            self.budget.append(edits)
+            # a stretch of m letters holds (m - q + 1) // q pieces at least, so a piece stands for at most 3q - 2 covered letters
+            self.need.append(max(1, min(math.ceil(share * len(p) / (3 * q - 2)), len(p) // q - max(edits, 0))))
             for i in range(len(p) // q):
                 places[p[i * q : (i + 1) * q]].append((k, i))
         self.share = share
@@ -147,29 +157,33 @@ class Items:
             if len(pieces) < self.need[k]:
                 continue
             p, n, least = self.codes[k], len(self.codes[k]), self.stretch[k]
-            covered = np.zeros(n, bool)
             diagonals: dict[int, int] = defaultdict(int)
             for i, at in found:
                 diagonals[at - i * self.piece[k]] += 1
             main = max(diagonals, key=lambda d: (diagonals[d], -d))
-            budget = n // self.piece[k]
-            lo, hi = max(0, main - budget), min(len(doc), main + n + budget)
+            reach = max(self.budget[k], n // self.piece[k])
+            lo, hi = max(0, main - reach), min(len(doc), main + n + reach)
             edits = myers(self.text[k], doc[lo:hi].tobytes().decode("utf-32-le"))
-            proven = n - edits - (edits + 1) * (least - 1) if edits else n
-            if edits == 0:
-                covered[:] = True
-            else:
-                for d in diagonals:
-                    a, b = max(0, -d), min(n, len(doc) - d)
-                    same = np.concatenate([[False], p[a:b] == doc[a + d : b + d], [False]])
-                    edge = np.flatnonzero(np.diff(same.view(np.int8)))
-                    for s, e in zip(edge[::2], edge[1::2], strict=True):
-                        if e - s >= least:
-                            covered[a + s : a + e] = True
-            share = float(covered.mean())
-            if share >= self.share or proven >= self.share * n:
+            if edits <= self.budget[k]:
+                yield self.ids[k], (n - edits) / n, edits, len(pieces)
+                continue
+            share = self.measured(k, doc, diagonals)
+            if share >= self.share:
                 yield self.ids[k], share, edits, len(pieces)
 
+    def measured(self, k: int, doc: np.ndarray, diagonals: dict[int, int]) -> float:
+        """The share of the passage that is in unbroken stretches, each of which lies on a diagonal that was hit."""
+        p, n, least = self.codes[k], len(self.codes[k]), self.stretch[k]
+        covered = np.zeros(n, bool)
+        for d in diagonals:
+            a, b = max(0, -d), min(n, len(doc) - d)
+            same = np.concatenate([[False], p[a:b] == doc[a + d : b + d], [False]])
+            edge = np.flatnonzero(np.diff(same.view(np.int8)))
+            for s, e in zip(edge[::2], edge[1::2], strict=True):
+                if e - s >= least:
+                    covered[a + s : a + e] = True
+        return float(covered.mean())
+
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", lang: str = "lang", passage: str = "passage", share: float = SHARE, pieces_a_block: int = PIECES_A_BLOCK) -> DataFrame:
     """(key, item, share, edits, pieces) of every document and the items it leaks."""
