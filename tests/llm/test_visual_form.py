@@ -4,7 +4,7 @@ import unicodedata
 import pyarrow as pa
 import pytest
 
-from tributary.llm.visual_form import _expand, canonical_column, lookalike_pairs
+from tributary.llm.visual_form import LOOKALIKES, _expand, canonical_column, lookalike_classes, lookalike_pairs
 
 
 def brute(t):
@@ -50,3 +50,27 @@ def test_pairs(spark):
 def test_long_run_of_marks():
     t = "a" + "̣́" * 5000
     assert canonical_column(pa.array([t])).to_pylist() == [brute(t)]
+
+
+def test_jamo_and_vowel_signs_in_rounds():
+    r = random.Random(9)
+    for alphabet in ("각가ᄀ각ᅡᆨ", "각ᅡᆨ́a", "কেোোৗ"):
+        texts = ["".join(r.choices(alphabet, k=r.randint(1, 30))) for _ in range(200)]
+        assert canonical_column(pa.array(texts)).to_pylist() == [brute(t) for t in texts]
+
+
+def test_scripts_that_look_alike():
+    assert all(len(a) == len(b) for a, b in LOOKALIKES.items())
+    same = [("\U0001d400\U0001d7d7", "A9"), ("ᎪᏢᏢ", "APP"), ("ՍՏ", "US"), ("ΡΑΥ", "PAY")]
+    assert all(len(set(canonical_column(pa.array(p)).to_pylist())) == 1 for p in same)
+
+
+def test_classes_and_blocks(spark):
+    r = random.Random(2)
+    rows = [(i, r.choice(["ab", "ａb", "aｂ", "cd", "x y", "x　y", " ", None])) for i in range(120)] + [(200, "cd"), (3, "ab")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(min(a, b), max(a, b)) for a, s in rows for b, t in rows if a != b and s and t and s.strip() and s != t and brute(s) == brute(t)}
+    assert {(x.a, x.b) for x in lookalike_pairs(df, "doc_id", "text", block=7).collect()} == want
+    got = lookalike_classes(df, "doc_id", "text").collect()
+    assert {(min(p.doc_id, q.doc_id), max(p.doc_id, q.doc_id)) for p in got for q in got if p.look == q.look and p.spelling != q.spelling and p.doc_id != q.doc_id} == want
+    assert lookalike_classes(df.limit(0), "doc_id", "text").count() == 0

@@ -103,11 +103,15 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
 
 
+def p9_classes(spark: SparkSession, d: str) -> DataFrame:
+    return visual.lookalike_classes(table(spark, d, "documents"), "doc_id", "text")
+
+
 def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p3_reassembled, p6_found, p6_entities, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p3_reassembled, p6_found, p6_entities, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_classes, p9_forms)}
 
 SQL = {
     "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",

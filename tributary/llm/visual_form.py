@@ -8,7 +8,8 @@ operations; no text is handled by itself.
 The table is a rule over the Unicode data: compatibility forms are expanded unless they look different
 (raised and lowered figures, circled ones, fractions), invisible characters vanish, every space becomes
 a plain space, hyphens that look alike become one, and letters of other scripts that look like Latin
-ones become those.
+ones become those. Mathematical and full-width letters and digits follow from the Unicode data; the
+look-alike letters of Cyrillic, Greek, Armenian and Cherokee are a parameter of ``Tables``.
 
 Defined results
 * a null text stays null; texts without visible characters take part in no pair;
@@ -38,6 +39,8 @@ LOOKALIKES = {
     "АВЕЅЗІЈКМНОРСТУХҮԌԚԜ": "ABESZIJKMHOPCTYXYGQW",
     "аеѕіјорсухһԁԛԝӏ": "aesijopcyxhdqwl",
     "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϺϲϳο": "ABEZHIKMNOPTYXCMcjo",
+    "ՍՏՕօսհոցզ": "USOouhngq",
+    "ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏏᏒᏙᏚᏞᏟᏢᏦᏧ": "DRTAJEWMHGZbRVSLCPKd",
     "ⅼ‐‑⁃﹣": "l----",
 }
 #: A look-alike that is not one in every typeface, and a different letter to readers of its script.
@@ -46,6 +49,8 @@ NOT_ALIKE = "З"
 DIFFERENT = ("<super>", "<sub>", "<circle>", "<fraction>")
 INVISIBLE = {0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
 SIZE = 0x110000
+#: Rows of one spelling that are paired in one task with as many of another.
+BLOCK = 2_000
 
 
 def _expand(cp: int) -> str:
@@ -170,15 +175,21 @@ def _marks(cps: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             out[o[ok]] = made[ok]
             alive[group[ok]] = False
             blocked[o[~ok]] = cls[group[~ok]]
-    # characters of class 0 that compose with the one before: jamo and a few vowel signs
+    # characters of class 0 that compose with the one before: jamo and a few vowel signs. Those that follow
+    # each other go one round after another; what absorbed a character takes its place.
     later = np.flatnonzero(t.second[cps] & (cls == 0) & ~first)
-    for i in later:
-        j = i - 1
-        while j >= 0 and not alive[j]:
-            j -= 1
-        made = t.compose(out[j : j + 1], out[i : i + 1])[0] if j >= 0 else 0
-        if made:
-            out[j], alive[i] = made, False
+    if len(later):
+        into = np.arange(len(cps))
+        gone = marks[~alive[marks]] if len(marks) else marks
+        into[gone] = owner[gone]
+        starts = np.flatnonzero(np.diff(later, prepend=-2) != 1)
+        nth = np.arange(len(later)) - np.repeat(starts, np.diff(starts, append=len(later)))
+        by = np.argsort(nth, kind="stable")
+        for group in np.split(later[by], np.flatnonzero(np.diff(nth[by])) + 1):
+            j = into[group - 1]
+            made = t.compose(out[j], out[group])
+            ok = made > 0
+            out[j[ok]], alive[group[ok]], into[group[ok]] = made[ok], False, j[ok]
     kept = np.concatenate([[0], np.cumsum(alive)])
     return out[alive].astype(np.uint32), kept[bounds]
 
@@ -209,21 +220,44 @@ def consistent(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(_forms, f"id {kind}, text string, form string").withColumnRenamed("id", key)
 
 
-def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(a, b), a < b: rows whose texts look the same yet are not equal.
-
-    Texts are compared by 128-bit hashes of the consistent form and of the text. Copies are combined to
-    one row a written form first, forms are paired, and only then rows are attached to them.
-    """
+def _classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, form, raw) of every text with visible characters whose form has more than one spelling; form and raw are 128-bit hashes."""
     both = lambda c: F.struct(F.xxhash64(c).alias("h"), F.xxhash64(F.lit(1), c).alias("g"))
     docs = consistent(df, key, text).filter(F.col("form").rlike(r"\S")).select(F.col(key).alias("id"), both(F.col("form")).alias("form"), both(F.col("text")).alias("raw"))
     docs = cut(docs)
-    forms = docs.groupBy("form", "raw").agg(F.lit(1).alias("one"))
-    varied = forms.groupBy("form").agg(F.count("*").alias("n")).filter("n > 1").select("form")
-    members = docs.join(varied, "form", "left_semi")
-    kinds = members.select("form", "raw").distinct()
-    pairs = kinds.select("form", F.col("raw").alias("ra")).join(kinds.select("form", F.col("raw").alias("rb")), "form").filter("ra < rb")
-    left = members.select("form", F.col("raw").alias("ra"), F.col("id").alias("x"))
-    right = members.select("form", F.col("raw").alias("rb"), F.col("id").alias("y"))
-    found = pairs.join(left, ["form", "ra"]).join(right, ["form", "rb"]).filter("x <> y")
+    # copies are combined to one row a spelling before spellings are counted
+    varied = docs.groupBy("form", "raw").agg(F.lit(1).alias("one")).groupBy("form").agg(F.count("*").alias("n")).filter("n > 1").select("form")
+    return docs.join(varied, "form", "left_semi")
+
+
+def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, look, spelling): rows that have look-alikes, with the class of their look and that of their exact text.
+
+    Two rows look the same if they share ``look``, and are equal if they share ``spelling``. The numbers
+    are the least key of each class, so this is one row a row, however many copies there are.
+    """
+    members = _classes(df, key, text).filter(F.col("id").isNotNull())
+    spellings = members.groupBy("form", "raw").agg(F.min("id").alias("spelling"))
+    looks = spellings.groupBy("form").agg(F.min("spelling").alias("look"))
+    return members.join(spellings, ["form", "raw"]).join(looks, "form").select(F.col("id").alias(key), "look", "spelling")
+
+
+def lookalike_pairs(df: DataFrame, key: str, text: str, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b: rows whose texts look the same yet are not equal.
+
+    Texts are compared by 128-bit hashes of the consistent form and of the text. Spellings of a form are
+    paired in blocks of at most about ``block`` rows each, and only then rows are attached, so that the
+    pairs of a spelling with many copies are made by many tasks. ``lookalike_classes`` says the same in
+    one row a text.
+    """
+    members = _classes(df, key, text)
+    blocks = members.groupBy("form", "raw").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = members.join(blocks, ["form", "raw"]).withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select("form", "raw", "i", "id")
+    kinds = blocks.select("form", "raw", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    side = lambda x: [F.col("raw").alias(f"r{x}"), F.col("i").alias(f"i{x}")]
+    pairs = kinds.select("form", *side("a")).join(kinds.select("form", *side("b")), "form").filter("ra < rb")
+    pair = ["form", "ra", "ia", "rb", "ib"]
+    left = pairs.join(placed.select("form", *side("a"), F.col("id").alias("x")), ["form", "ra", "ia"]).select(*pair, "x")
+    right = pairs.join(placed.select("form", *side("b"), F.col("id").alias("y")), ["form", "rb", "ib"]).select(*pair, "y")
+    found = left.join(right, pair).filter("x <> y")
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
