@@ -10,7 +10,7 @@ stays as it is. Three families of pairs differ in what a match proves:
   neighbouring matches, symbols and four-byte forms one;
 * UTF-8 read as GB 18030: a match is the start of a span that is decoded as far as it is valid.
 
-GBK read as Big5 gives one ordinary hanzi for each hanzi, so there the span is found by the likelihood
+Further pairs come from the list ``encoding_pairs.PAIRS``. GBK read as Big5 gives one ordinary hanzi for each hanzi, so there the span is found by the likelihood
 of the characters before and after, from the character counts of the distinct texts (at most one row a
 code point). Replacement characters, and the traces they leave when they are read as GBK, are garbled
 without a way back: such text is reported and left as it is around what can be restored.
@@ -27,6 +27,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from os.path import commonprefix
 
 import ahocorasick
 import numpy as np
@@ -35,11 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.encoding_pairs import PAIRS, prior, reads, restore, uniform
 from tributary.plans.ship import ship
 
 SINGLE_BYTE = ("latin-1", "cp1252", "mac_roman")
 LOST = "�"
 MAX_LEVELS = 4
+#: Characters that are evidence enough.
+EVIDENCE = 10_000_000
 #: A run behind a replacement character; a run that has traces of replacement characters read as GBK.
 SURVIVOR = re.compile(f"{LOST}([^\\x00-\\x7f{LOST}]+)")
 MARKED = re.compile("([^\\x00-\\x7f]*[锟拷][^\\x00-\\x7f]*)")
@@ -237,13 +241,19 @@ def _decode_gb_span(text: str, start: int) -> tuple[int, str, int, int]:
 
 
 class Repair:
-    """Finds and restores garbled spans; ``counts`` are the occurrences of each code point in distinct texts."""
+    """Finds and restores garbled spans; ``counts`` are the occurrences of each code point in distinct texts.
 
-    def __init__(self, counts: dict[int, int] | None = None) -> None:
+    The counts of a corpus beyond ``EVIDENCE`` characters are scaled down to that many, so that a verdict
+    does not depend on the size of the corpus.
+    """
+
+    def __init__(self, counts: dict[int, int] | None = None, pairs: tuple[tuple[str, str], ...] = PAIRS) -> None:
         self.back, self.prior = gb_as_big5()
-        self.common = self.prior.copy()
+        self.common, self.pairs, self.common_of_all = self.prior.copy(), pairs, prior().copy()
+        scale = min(1.0, EVIDENCE / max(1, sum((counts or {}).values())))
         for c, n in (counts or {}).items():
-            self.common[c] += np.log1p(n)
+            self.common[c] += np.log1p(n * scale)
+            self.common_of_all[c] += 0.2 * np.log1p(n * scale) if self.common_of_all[c] else 0
         self.cache: dict[str, tuple[bool, str]] = {}
 
     def _single(self, text: str) -> str:
@@ -263,6 +273,9 @@ class Repair:
                 gb += runs[i:j]
             i = j
         best = max([*families, gb], key=lambda hits: sum(h[1] - h[0] for h in hits))
+        if best and best is gb:  # another pair of encodings may explain the same bytes better
+            now, other = _replace(text, best), restore(text, self.common_of_all, self.pairs)
+            return other if other != text and self._better(text, other, now) else now
         return _replace(text, best) if best else text
 
     def _gb(self, text: str) -> tuple[str, bool]:
@@ -344,6 +357,13 @@ class Repair:
             self.cache[text] = self._judge(text)
         return self.cache[text]
 
+    def _better(self, text: str, a: str, b: str) -> bool:
+        """Whether the changed part of ``a`` reads better than that of ``b``."""
+        start = len(commonprefix([text, a, b]))
+        end = min(len(commonprefix([text[start:][::-1], x[start:][::-1]])) for x in (a, b))
+        a, b = a[start : len(a) - end], b[start : len(b) - end]
+        return reads(a, self.common_of_all) > reads(b, self.common_of_all) + (0.2 if uniform(a) else 1.0)
+
     def _survived(self, text: str) -> str:
         """GB 18030 read as UTF-8: hanzi whose two bytes survived behind a replacement character.
 
@@ -400,7 +420,10 @@ class Repair:
         for i in range(0, len(parts), 2):
             parts[i], changed = self._gb(parts[i])
             garbled |= changed
-            parts[i] = self._big5(parts[i])
+            former = parts[i]
+            parts[i] = self._big5(former)
+            if not changed and parts[i] == former and former == text and not former.isascii():
+                parts[i] = restore(former, self.common_of_all, self.pairs)
         parts[1::2] = map(self._marked, parts[1::2])
         now = "".join(parts)
         if LOST in text:
@@ -449,7 +472,7 @@ def character_counts(texts: DataFrame, text: str = "text") -> dict[int, int]:
     return {r.cp: r.n for r in rows}
 
 
-def repair(df: DataFrame, text: str | Column = "text", counts: dict[int, int] | None = None) -> DataFrame:
+def repair(df: DataFrame, text: str | Column = "text", counts: dict[int, int] | None = None, pairs: tuple[tuple[str, str], ...] = PAIRS) -> DataFrame:
     """``df`` with ``garbled`` and ``restored`` for the column ``text``; columns of these names are replaced."""
     ship(df)
     df = df.drop("garbled", "restored", "__fix")
@@ -457,7 +480,7 @@ def repair(df: DataFrame, text: str | Column = "text", counts: dict[int, int] |
 
     @F.pandas_udf("garbled boolean, restored string")
     def fix(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        repairer = Repair(shared.value)
+        repairer = Repair(shared.value, pairs)
         for s in batches:
             done = [repairer(t) for t in s]
             yield pd.DataFrame({"garbled": [d[0] for d in done], "restored": pd.Series([d[1] for d in done], dtype=object)})
