@@ -28,6 +28,7 @@ MULTI = ("utf-8", "shift_jis", "big5", "euc-kr", "gb18030")
 GAIN, LEAST = 1.0, 2
 #: Text is turned back in pieces of this length; what follows a piece is looked at again.
 REACH = 4096
+GLANCE = 40
 _NEIGHBOURS = re.compile("[^\\x00-\\x7f]{2}")
 
 _KANA = "".join(map(chr, [*range(0x3041, 0x3094), *range(0x30A1, 0x30F7), 0x30FC]))
@@ -148,38 +149,41 @@ def _windows(text: str, first: np.ndarray, second: np.ndarray, longest: int) ->
     return list(zip(starts.tolist(), np.minimum(ends, len(cps)).tolist(), strict=True))
 
 
-def undo(text: str, start: int, meant: str, used: str) -> tuple[int, str]:
-    """(end, restored) of what is valid from ``start`` on, up to the last restored character that is not ASCII."""
-    line = text.find("\n", start, start + REACH)
-    seg = text[start : line if line >= 0 else start + REACH]
-    ends: list[int] = []  # the number of bytes after each character
-    raw = bytearray()
-    table = {} if used in MULTI else _char_bytes(used)
+def _to_bytes(seg: str, used: str) -> tuple[bytes, str]:
+    """The bytes that a text was read from, as far as there are any, and the part of the text they are."""
+    try:
+        return seg.encode(used), seg
+    except UnicodeEncodeError as e:
+        if used in MULTI or seg[e.start] not in _char_bytes(used):
+            return seg[: e.start].encode(used), seg[: e.start]
+    table, raw = _char_bytes(used), bytearray()
     for c in seg:
-        if used in MULTI:
-            b = c.encode(used, "ignore")
-            if not b:
-                break
-            raw += b
-        elif c in table:
-            raw.append(table[c])
-        else:
+        if c not in table:
             break
-        ends.append(len(raw))
-    valid, whole = len(raw), bytes(raw)
+        raw.append(table[c])
+    return bytes(raw), seg[: len(raw)]
+
+
+def undo(text: str, start: int, meant: str, used: str, reach: int = REACH) -> tuple[int, str]:
+    """(end, restored) of what is valid from ``start`` on, up to the last restored character that is not ASCII."""
+    line = text.find("\n", start, start + reach)
+    raw, seg = _to_bytes(text[start : line if line >= 0 else start + reach], used)
     try:
-        got = whole.decode(meant)
+        got = raw.decode(meant)
     except UnicodeDecodeError as e:
-        valid = e.start
-        got = whole[:valid].decode(meant)
-    got = got[: max((i + 1 for i, c in enumerate(got) if not c.isascii()), default=0)]
-    size = len(got.encode(meant))
-    at = next((i for i, n in enumerate(ends) if n >= size), -1)
-    if not got or at < 0:
+        got = raw[: e.start].decode(meant)
+    got = got[: next((i for i in range(len(got), 0, -1) if got[i - 1] > "\x7f"), 0)]
+    if not got:
         return start, ""
-    if ends[at] != size:  # the last character also holds bytes of what did not decode
-        return start + at + 1, got
-    return start + at + 1, got
+    size = len(got.encode(meant))
+    if used not in MULTI:
+        return start + size, got
+    held = 0
+    for i, c in enumerate(seg):  # the last character may also hold a byte of what did not decode
+        held += len(c.encode(used))
+        if held >= size:
+            return start + i + 1, got
+    return start + len(seg), got
 
 
 def reads(s: str, common: np.ndarray) -> float:
@@ -221,16 +225,19 @@ def restore(text: str, common: np.ndarray, pairs: tuple[tuple[str, str], ...] =
             for start in range(lo, max(at, lo - 2 if used in MULTI else lo) - 1, -1):
                 if text[start].isascii():
                     break
-                end, got = undo(text, start, meant, used)
-                wide = sum(not c.isascii() for c in got)
-                span = text[start:end]
-                # UTF-8 hardly ever decodes by accident; two bytes of the others do, so these need neighbours
-                if wide < LEAST or end <= e or meant != "utf-8" and not _NEIGHBOURS.search(got):
-                    continue
-                scores = common[[ord(c) for c in got if not c.isascii()]]
-                gain = reads(got, common) - reads(span, common)
-                if gain >= GAIN and (scores > 0).all() and (best is None or (wide, gain) > best[0]):
-                    best = (wide, gain), start, end, got
+                # what does not even begin well is given up at once, so that a wrong pair costs no more than a look
+                for far in (GLANCE, REACH):
+                    end, got = undo(text, start, meant, used, far)
+                    wide = [ord(c) for c in got if c > "\x7f"]
+                    # UTF-8 hardly ever decodes by accident; two bytes of the others do, so these need neighbours
+                    if len(wide) < LEAST or end <= e or meant != "utf-8" and not _NEIGHBOURS.search(got) or not common[wide].all():
+                        break
+                    gain = reads(got, common) - reads(text[start:end], common)
+                    if gain < GAIN:
+                        break
+                else:
+                    if best is None or (len(wide), gain) > best[0]:
+                        best = (len(wide), gain), start, end, got
         if best:
             _, start, end, got = best
             out += [text[at:start], got]
