@@ -21,9 +21,10 @@ def test_names_resolve_against_entities_of_all_types(spark):
         near = [(len(set(n) & set(k)), k) for k in known if k in n or n in k]
         if n in known or near:
             want[n] = known[n if n in known else max(near)[1]]
-    got = joins.q.queries["joi_13_fuzzy_names_all"](spark, FOLDER).collect()
+    got = joins.q.queries["joi_13_fuzzy_names"](spark, FOLDER).collect()
     assert {r["name"]: r["id"] for r in got} == want and len(got) == len(want)
-    assert len(want) > joins.q.queries["joi_13_fuzzy_names"](spark, FOLDER).count()
+    types = {r.name_cn: r.type for r in view(spark, FOLDER, "v").collect()}
+    assert {types.get(n) for n in want} - {"指标", "概念", None}, "names of all types are asked for"
 
 
 def test_orphans_of_all_types_meet_anchors_of_their_type(spark, tmp_path):
@@ -56,7 +57,7 @@ def test_long_documents_come_out_whole(spark):
 
 
 def test_a_service_is_read_to_its_last_page(spark, tmp_path):
-    service = "def fetch(url, page=1, size=100, since=None):\n    lo = (page - 1) * size\n    return {'data': [{'n': i} for i in range(lo, min(250 if since else 1205, lo + size))]}\n"
+    service = "def fetch(url, page=1, page_size=100, since=None):\n    lo = (page - 1) * page_size\n    return {'data': [{'n': i} for i in range(lo, min(250 if since else 1205, lo + page_size))]}\n"
     module = tmp_path / "many_pages.py"
     module.write_text(service)
     spark.sparkContext.addPyFile(str(module))

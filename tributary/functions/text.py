@@ -100,12 +100,12 @@ def html_escape(c: Column) -> Column:
     return out
 
 
-def organisations(c: Column, most: int | None = 8) -> Column:
+def organisations(c: Column, most: int | None = None) -> Column:
     found = F.array_distinct(F.regexp_extract_all(c, F.lit(ORGANISATION), F.lit(1)))
     return F.array_join(F.slice(found, 1, most) if most else found, ", ")
 
 
-def thresholds(c: Column, most: int | None = 6) -> Column:
+def thresholds(c: Column, most: int | None = None) -> Column:
     found = F.regexp_extract_all(c, F.lit(THRESHOLD), F.lit(1))
     return F.array_join(F.slice(found, 1, most) if most else found, ", ")
 

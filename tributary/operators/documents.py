@@ -109,14 +109,17 @@ def tables(docs: DataFrame, key: str, text: str) -> DataFrame:
     return has_table.mapInArrow(run, f"key {kind}, table_index int, table_row_index int, section_title string, cells map<string,string>").withColumnRenamed("key", key)
 
 
-def common(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, section_count, sections, doc_summary) of every document."""
+def common(docs: DataFrame, key: str, text: str, titles_shown: int | None = None, longest: int | None = None) -> DataFrame:
+    """(key, section_count, sections, doc_summary) of every document: all titles and the text in one line.
+
+    ``titles_shown`` titles and a summary of ``longest`` characters; the reference has 6 and 200.
+    """
     titles = F.regexp_extract_all(F.col(text), F.lit("(?m)" + HEADING), F.lit(2))
-    return docs.select(key, F.size(titles).alias("section_count"), F.array_join(F.slice(titles, 1, 6), ", ").alias("sections"), strip(F.replace(F.substring(text, 1, 200), F.lit("\n"), F.lit(" "))).alias("doc_summary"))
+    return docs.select(key, F.size(titles).alias("section_count"), F.array_join(F.slice(titles, 1, titles_shown) if titles_shown else titles, ", ").alias("sections"), strip(F.replace(clipped(F.col(text), longest), F.lit("\n"), F.lit(" "))).alias("doc_summary"))
 
 
-def enrich(rows: DataFrame, columns: list[str], most: tuple[int | None, int | None] = (8, 6)) -> DataFrame:
-    """Rows with the organisations and thresholds that their own text names."""
+def enrich(rows: DataFrame, columns: list[str], most: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """Rows with the organisations and thresholds that their own text names; at ``most`` so many, the reference has 8 and 6."""
     own = F.concat_ws(" ", *columns)
     return rows.withColumns({"organizations": organisations(own, most[0]), "thresholds": thresholds(own, most[1])})
 
@@ -141,7 +144,7 @@ def extract(docs: DataFrame, key: str, text: str, longest: int | None = None, mo
 def structured_by(docs: DataFrame, key: str, text: str, extract_one: Callable[[list[str]], list[dict]] | None, auto: bool = False, batch: int = 20) -> DataFrame:
     """(key, fields map): an injected extractor in batches of 20 texts; its reply counts only if it has one item a text.
 
-    Without an extractor, or unless ``auto`` asks for it, the rules of ``extract`` apply.
+    Texts of a batch whose reply has another length have the one field ``extraction_error``, which says so. Without an extractor, or unless ``auto`` asks for it, the rules of ``extract`` apply.
     """
     if extract_one is None or not auto:
         return extract(docs, key, text).select(key, F.create_map(F.lit("record_id"), F.col("record_id"), F.lit("row_type"), F.col("row_type"), F.lit("body"), F.col("body")).alias("fields"))
@@ -154,7 +157,7 @@ def structured_by(docs: DataFrame, key: str, text: str, extract_one: Callable[[l
             for i in range(0, len(texts), batch):
                 part = texts[i : i + batch]
                 reply = extract_one(part)
-                fields += [list((k, str(v)) for k, v in r.items()) for r in reply] if len(reply) == len(part) else [[] for _ in part]
+                fields += [list((k, str(v)) for k, v in r.items()) for r in reply] if len(reply) == len(part) else [[("extraction_error", f"{len(reply)} replies for {len(part)} texts")] for _ in part]
             yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), pa.array(fields, pa.map_(pa.string(), pa.string()))], names=["key", "fields"])
 
     return docs.select(key, text).mapInArrow(run, f"key {kind}, fields map<string,string>").withColumnRenamed("key", key)

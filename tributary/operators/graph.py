@@ -6,6 +6,7 @@ import itertools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tributary.plans.durable import cut
 
@@ -61,13 +62,17 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 
 def neighbourhood(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """(id, hops) of everything within ``depth`` (1 to 5) undirected steps of ``start`` (id)."""
+    """(id, hops) of everything within ``depth`` undirected steps of ``start`` (id); stops early where nothing new is found."""
+    if depth < 1:
+        raise ValueError("the depth must be at least 1")
     pairs = undirected(edges)
     seen = start.select("id").distinct().withColumn("hops", F.lit(0))
     frontier = seen
-    for hop in range(1, max(1, min(5, depth)) + 1):
+    for hop in range(1, depth + 1):
         step = pairs.join(frontier.select(F.col("id").alias("a")), "a").select(F.col("b").alias("id")).distinct().join(seen, "id", "left_anti").withColumn("hops", F.lit(hop))
         frontier = cut(step)
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return seen
 
@@ -75,14 +80,17 @@ def neighbourhood(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
 def distances(edges: DataFrame, start: DataFrame, max_hops: int | None = None) -> DataFrame:
     """(id, hops, parent): breadth-first search from ``start`` (id); the parent is the smallest of the level before.
 
-    Vertices further than ``max_hops`` away are an error; without it all that can be reached are found.
+    Vertices further than ``max_hops`` away are an error; without it all that can be reached are found. A
+    neighbour of a level is in that level, the one before or the one after, so only two levels are looked at.
     """
     pairs = cut(undirected(edges))
     frontier = start.select("id").distinct().select("id", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("parent"))
-    seen = frontier
+    seen, before = frontier, None
     for hop in itertools.count(1):
-        step = pairs.join(frontier.select(F.col("id").alias("a")), "a").join(seen.select(F.col("id").alias("b")), "b", "left_anti").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("parent"))
-        frontier = cut(step.select("id", F.lit(hop).alias("hops"), "parent"))
+        known = frontier.select(F.col("id").alias("b"))
+        known = known if before is None else known.unionAll(before.select(F.col("id").alias("b")))
+        step = pairs.join(frontier.select(F.col("id").alias("a")), "a").join(known, "b", "left_anti").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("parent"))
+        before, frontier = frontier, cut(step.select("id", F.lit(hop).alias("hops"), "parent"))
         if frontier.isEmpty():
             return seen
         if max_hops is not None and hop > max_hops:
@@ -122,9 +130,14 @@ def quality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def sanitise(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices without null or repeated ids; edges without loops and dangling ends."""
-    v = vertices.filter("id is not null").dropDuplicates(["id"])
-    return v, inner_edges(v, edges.filter("id is not null and source_entity <> target_entity").dropDuplicates(["id"]))
+    """Vertices without null or repeated ids; edges without loops and dangling ends.
+
+    Of repeated ids the row with the smallest text stays, so that the result is always the same.
+    """
+    text = F.to_json(F.struct("*"))
+    first = lambda df: df.withColumn("__n", F.row_number().over(Window.partitionBy("id").orderBy(text))).filter("__n = 1").drop("__n")
+    v = first(vertices.filter("id is not null"))
+    return v, inner_edges(v, first(edges.filter("id is not null and source_entity <> target_entity")))
 
 
 def decayed_weights(events: DataFrame, at: str, delta: str, now, keys: list[str], weekly: float = 0.95) -> DataFrame:
@@ -144,20 +157,34 @@ def co_occurrence(instances: DataFrame, subject: str, concept: str) -> DataFrame
     return pairs.join(total.withColumnRenamed("c", "a"), "a").select("a", "b", "together", (F.col("together") / F.col("n")).alias("share_of_a"))
 
 
-READ_ONLY_WORDS = r"(?i)\b(create|delete|set|merge|remove|drop|insert|update|alter|truncate|call|load)\b"
-
-
 def guarded_query(spark, text: str, views: dict[str, DataFrame], scope: str = "ontology_id") -> DataFrame:
-    """A read-only query over temporary views that must name its scope."""
-    import re
+    """A read-only query over temporary views, each of which it must filter by the scope.
 
-    if re.search(READ_ONLY_WORDS, text):
+    The parsed statement must be no command, and every view that the plan reads must lie below a filter
+    that compares the scope column; comments and texts that only name it do not count.
+    """
+    logical = "org.apache.spark.sql.catalyst.plans.logical."
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    kind = lambda name: spark._jvm.java.lang.Class.forName(logical + name)
+    if any(kind(k).isInstance(parsed) for k in ("Command", "ParsedStatement")):
         raise ValueError("only reading queries are allowed")
-    if scope not in text:
-        raise ValueError(f"the query must be limited by {scope}")
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    out = spark.sql(text)
+
+    def unscoped(node, scoped: bool) -> bool:
+        name = node.nodeName()
+        if name == "Filter":
+            refs = node.condition().references().toSeq()
+            scoped |= any(refs.apply(i).name() == scope for i in range(refs.size()))
+        if name == "SubqueryAlias" and node.alias() in views and not scoped:
+            return True
+        children = node.children()
+        return any(unscoped(children.apply(i), scoped) for i in range(children.size()))
+
+    if unscoped(out._jdf.queryExecution().analyzed(), False):
+        raise ValueError(f"the query must be limited by {scope}")
+    return out
 
 
 #: Words of a question and the template they choose, with its row limit.

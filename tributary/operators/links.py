@@ -55,10 +55,11 @@ def broken_list_references(rows: DataFrame, key: str, lists: str, known: DataFra
     return miss.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "ref"))), lambda s: s["ref"]).alias("broken"))
 
 
-def missing_relations(vertices: DataFrame, edges: DataFrame, patterns: list[tuple[str, str, str]], limit: int | None = 20) -> DataFrame:
+def missing_relations(vertices: DataFrame, edges: DataFrame, patterns: list[tuple[str, str, str]], limit: int | None = None) -> DataFrame:
     """(source, target, type): pairs of one ontology whose types fit a pattern (source part, target part, type) and that no edge joins.
 
     Types are matched first, a handful of distinct values, so that only fitting vertices are joined by equality.
+    ``limit``: only the first so many; the reference has 20.
     """
     spark = vertices.sparkSession
     pats = spark.createDataFrame(patterns, "source_part string, target_part string, relation string")

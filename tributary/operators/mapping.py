@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tributary.functions.text import concept_id, key_normal, relation_id, row_id, row_identity
 from tributary.operators.links import CONFIDENCE, exact_or_normal
@@ -152,11 +153,14 @@ def discover_rules(mapping: dict, facts: dict[str, dict], states: dict[str, list
     return out
 
 
-def discover_actions(classes: list[str], states: dict[str, list[str]], timestamps: list[str], relations: list[dict]) -> list[dict]:
-    """Create and update for each class, state changes, timestamp updates (the first three), link and unlink, three generic ones."""
+def discover_actions(classes: list[str], states: dict[str, list[str]], timestamps: list[str], relations: list[dict], most: int | None = None) -> list[dict]:
+    """Create and update for each class, state changes, timestamp updates, link and unlink, three generic ones.
+
+    At ``most`` so many timestamp updates; the reference has three.
+    """
     out = [{"name": f"{verb} {c}", "effect": e} for c in classes for verb, e in (("Create", "create_object"), ("Update", "set_property"))]
     out += [{"name": f"Change {s}", "effect": "set_property"} for s in states]
-    out += [{"name": f"Set {t}", "effect": "set_property"} for t in timestamps[:3]]
+    out += [{"name": f"Set {t}", "effect": "set_property"} for t in timestamps[:most]]
     out += [{"name": f"{verb} {r['source']} {r['target']}", "effect": e} for r in relations for verb, e in (("Link", "merge_relationship"), ("Unlink", "delete_relationship"))]
     return out + [{"name": n, "effect": e} for n, e in (("Annotate", "set_property"), ("Approve", "set_property"), ("Archive", "set_property"))]
 
@@ -174,12 +178,17 @@ def link_plan(matches: DataFrame, anchored: DataFrame, min_auto: float = 0.85, m
 
 
 def apply_plan(vertices: DataFrame, edges: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merged orphans are gone, their edges go to the anchor, its blanks are filled; loops and repeated edges are dropped."""
+    """Merged orphans are gone, their edges go to the anchor, its blanks are filled; loops and repeated edges are dropped.
+
+    Of repeated edges the one with the smallest id stays; an edge with a null end is neither loop nor repeat and stays.
+    """
     to = plan.filter("action = 'merge'").select(F.col("orphan").alias("old"), F.col("anchor").alias("new"))
     e = edges
     for end in ("source_entity", "target_entity"):
         e = e.join(to.withColumnRenamed("old", end), end, "left").withColumn(end, F.coalesce("new", end)).drop("new")
-    e = e.filter("source_entity <> target_entity").dropDuplicates(["source_entity", "target_entity", "type"]).select(*edges.columns)
+    open_ = F.col("source_entity").isNull() | F.col("target_entity").isNull()
+    e = e.filter(open_ | (F.col("source_entity") != F.col("target_entity"))).withColumn("__own", F.when(open_, F.col("id")))
+    e = e.withColumn("__n", F.row_number().over(Window.partitionBy("source_entity", "target_entity", "type", "__own").orderBy("id"))).filter("__n = 1").select(*edges.columns)
     gone = vertices.join(to.select(F.col("old").alias("id"), "new"), "id")
     fill = gone.groupBy(F.col("new").alias("id")).agg(*[F.max_by(c, F.struct(F.col(c).isNotNull(), "id")).alias(f"__{c}") for c in ("name_en", "description")])
     v = vertices.join(to.select(F.col("old").alias("id")), "id", "left_anti").join(fill, "id", "left")

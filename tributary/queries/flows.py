@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tributary.functions import text as t
-from tributary.operators import audit, cleansing, documents, graph, links, mapping, merge, ontology, rules, search
+from tributary.operators import audit, catalog, cleansing, documents, graph, links, mapping, merge, ontology, rules, search
 from tributary.operators import profiling as p
 from tributary.plans import pipeline
 from tributary.plans.durable import checkpoint_dir
 from tributary.queries.registry import Registry
-from tributary.sources import connectors, exports, files
+from tributary.sources import connectors, exports, files, object_store
 from tributary.streaming import incremental
 
 q = Registry()
@@ -105,7 +105,9 @@ def _(T):
 
 @q("src_07_source_lookup", "SELECT DISTINCT regexp_replace(source_file, '\\.[^.]+$', '') AS stem FROM raw_orders")
 def _(T):
-    return T("raw_orders").select(F.regexp_replace("source_file", r"\.[^.]+$", "").alias("stem")).distinct()
+    names = T("raw_orders").select("source_file").distinct()
+    named = connectors.sources_of(names.select(F.regexp_replace("source_file", r"\.[^.]+$", "").alias("node")), "node", names, "source_file", "source_file")
+    return named.select(c("source").alias("stem"))
 
 
 def _catalog(T, *names):
@@ -173,8 +175,7 @@ def _(T):
 @q("src_17_record_extraction", "SELECT event_id, CAST(props::JSON->>'k' AS BIGINT) AS k FROM events")
 def _(T):
     body = F.when(c("event_id") % 2 == 0, F.concat(F.lit('{"data":['), "props", F.lit("]}"))).otherwise(F.concat(F.lit('{"items":['), "props", F.lit("]}")))
-    found = F.coalesce(*[F.from_json(F.get_json_object(body, f"$.{k}"), "array<struct<k long>>") for k in connectors.RECORD_PATHS])
-    return T("events").select("event_id", F.explode(found).alias("x")).select("event_id", "x.k")
+    return T("events").select("event_id", F.explode(connectors.records_in(body, "struct<k long>")).alias("x")).select("event_id", "x.k")
 
 
 @q("src_18_file_listing", "SELECT 5 AS files")
@@ -186,16 +187,17 @@ def _(T):
 
 @q("src_19_registry", "SELECT * FROM (VALUES ('file'), ('mongo'), ('mongodb'), ('mysql'), ('postgres'), ('postgresql'), ('rest'), ('rest_api')) t(kind)")
 def _(T):
-    kinds = [k for k in connectors.REGISTRY if k not in ("catalog", "jdbc")]
-    return T("region").sparkSession.createDataFrame([(k,) for k in kinds], "kind string")
+    return T("region").sparkSession.createDataFrame([(k,) for k in connectors.kinds()], "kind string")
 
 
 @q("src_20_object_store", "SELECT n_nationkey FROM nation")
 def _(T):
     n = T("nation")
     at = _folder(n)
-    n.write.parquet(at)
-    return n.sparkSession.read.parquet(at).select("n_nationkey")
+    store = object_store.ObjectStore(n.sparkSession, at)
+    for r in n.select("n_nationkey").collect():  # 25 rows, an object each
+        store.put(f"nation/{r.n_nationkey}.txt", str(r.n_nationkey).encode())
+    return store.read("*.txt").select(c("content").cast("string").cast("long").alias("n_nationkey"))
 
 
 @q("src_21_comments", "SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation WHERE n_nationkey % 4 <> 0")
@@ -221,8 +223,8 @@ def _(T):
 
 @q("src_24_row_migration", "SELECT id, source_entity AS source, coalesce(CAST(confidence AS VARCHAR), '') AS props, coalesce(created_at, created_at) AS updated_at FROM e")
 def _(T):
-    old = T("e").withColumnsRenamed({"source_entity": "source"}).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
-    return old.select("id", "source", F.coalesce(c("confidence").cast("string"), F.lit("")).alias("props"), F.coalesce("updated_at", "created_at").alias("updated_at"))
+    old = T("e").withColumn("confidence", c("confidence").cast("string"))
+    return connectors.migrated(old, {"source_entity": "source", "confidence": "props"}, {"props": F.lit(""), "updated_at": c("created_at")}).select("id", "source", "props", "updated_at")
 
 
 # sinks and exports
@@ -233,7 +235,7 @@ def _(T):
     return exports.stringified(T("purchase_orders").select("row_id", "供应商", "质检结果"))
 
 
-@q("snk_02_next_version", "SELECT feed AS dataset, max(load_no) + 1 AS version_no, left(sha256(left(max(\"订单号\"), 1024)), 16) AS checksum FROM purchase_orders GROUP BY feed")
+@q("snk_02_next_version", "SELECT feed AS dataset, max(load_no) + 1 AS version_no, left(sha256(max(\"订单号\")), 16) AS checksum FROM purchase_orders GROUP BY feed")
 def _(T):
     v = T("purchase_orders").select(c("feed").alias("dataset"), c("load_no").alias("version_no"), "订单号")
     return exports.next_version(v, "dataset", c("订单号"))
@@ -315,9 +317,10 @@ def _(T):
 _GONE = "(SELECT id FROM v WHERE ontology_id = 'o-sup-00000')"
 
 
-@q("snk_13_delete_scope", f"SELECT id FROM e WHERE (source_entity NOT IN {_GONE} OR source_entity IS NULL) AND (target_entity NOT IN {_GONE} OR target_entity IS NULL)")
+@q("snk_13_delete_scope", f"SELECT id, 'edge' AS kind FROM e WHERE (source_entity NOT IN {_GONE} OR source_entity IS NULL) AND (target_entity NOT IN {_GONE} OR target_entity IS NULL) UNION ALL SELECT id, 'vertex' FROM v WHERE ontology_id IS DISTINCT FROM 'o-sup-00000'")
 def _(T):
-    return exports.delete_scope(T("v"), T("e"), "o-sup-00000")[1].select("id")
+    v, e = exports.delete_scope(T("v"), T("e"), "o-sup-00000")
+    return e.select("id", F.lit("edge").alias("kind")).unionByName(v.select("id", F.lit("vertex").alias("kind")))
 
 
 @q("snk_14_graph_sync", "SELECT id, upper(regexp_replace(coalesce(type, 'Entity'), '[\\s\\-]+', '_', 'g')) AS label, coalesce(name_cn, '') AS name_cn FROM v")
@@ -376,12 +379,27 @@ def _(T):
     return documents.tables(T("uploaded_files").filter("converted_md is not null"), "id", "converted_md")
 
 
-@q("doc_04_definitions", "SELECT id, 'Limit' AS name, 'upper' AS qualifier, CAST(file_size AS VARCHAR) AS definition FROM uploaded_files WHERE converted_md IS NOT NULL")
+_DEFINED = "^([A-Za-z一-龥][\\p{L}\\p{N}_一-龥 /\\-]{0,40}?)\\s*[(（]([^)）]{1,40})[)）]\\s*[:：]\\s*(.+)$"
+
+
+@q("doc_04_definitions", f"""WITH d AS (SELECT id, converted_md || chr(10) || 'IF rate > ' || file_size || ' THEN review order' || chr(10) || 'IF size > 3, split it' || chr(10) || 'Limit (upper): ' || file_size || chr(10) || '| a | b |' AS md FROM uploaded_files WHERE converted_md IS NOT NULL),
+ln AS (SELECT id, trim(unnest(string_split(md, chr(10))), ' ' || chr(9) || chr(13)) AS line, generate_subscripts(string_split(md, chr(10)), 1) AS i FROM d),
+hit AS (SELECT id, i, trim(regexp_extract(line, '{_DEFINED}', 1)) AS name, trim(regexp_extract(line, '{_DEFINED}', 2)) AS qualifier, trim(regexp_extract(line, '{_DEFINED}', 3)) AS definition FROM ln WHERE regexp_matches(line, '{_DEFINED}'))
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY i) AS definition_index, name, qualifier, definition FROM hit WHERE NOT regexp_matches(name, '(?i)^(step|阶段|步骤)\\s*[0-9]*$')""")
 def _(T):
-    return documents.definitions(_docs(T), "id", "md", None).filter("name = 'Limit'").select("id", "name", "qualifier", "definition")
+    return documents.definitions(_docs(T), "id", "md")
+
+
+_NUMBERED = "^\\s*([0-9]+[\\.、)])\\s+(\\S[^\\n]{0,60}?)\\s*$"
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(12288)"
 
 
-@q("doc_05_sections")
+@q("doc_05_sections", f"""WITH ln AS (SELECT id, unnest(p) AS line, generate_subscripts(p, 1) AS i FROM (SELECT id, regexp_split_to_array(converted_md, '\\r?\\n') AS p FROM uploaded_files WHERE converted_md IS NOT NULL)),
+h AS (SELECT *, regexp_matches(line, '^#{{1,6}}\\s+.') AS sharp, regexp_matches(line, '{_NUMBERED}') AND NOT regexp_matches(line, '(?i)^\\s*[0-9]+[\\.、)]\\s+(IF|Step)\\b') AS number FROM ln),
+k AS (SELECT *, CASE WHEN bool_or(sharp) OVER (PARTITION BY id) THEN sharp ELSE number END AS head FROM h),
+n AS (SELECT *, count(*) FILTER (WHERE head) OVER (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING) AS n, bool_or(head) OVER (PARTITION BY id) AS has_head FROM k),
+s AS (SELECT id, greatest(n, 1) AS section_index, max(CASE WHEN head THEN trim(CASE WHEN sharp THEN regexp_extract(line, '^(#{{1,6}})\\s+(.+)$', 2) ELSE regexp_extract(line, '{_NUMBERED}', 2) END, {_WS}) END) AS section_title, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT head), ''), {_WS}) AS section_text FROM n WHERE NOT has_head OR n > 0 GROUP BY id, n)
+SELECT * FROM s WHERE section_text <> ''""")
 def _(T):
     return documents.sections(T("uploaded_files").filter("converted_md is not null"), "id", "converted_md")
 
@@ -391,12 +409,12 @@ def _(T):
     return documents.extract(T("uploaded_files"), "id", "converted_md").select("id").distinct()
 
 
-@q("doc_07_common", "SELECT id, len(regexp_extract_all(converted_md, '(?m)^(#{1,6})\\s+(.+)$', 2)) AS section_count, array_to_string(list_slice(regexp_extract_all(converted_md, '(?m)^(#{1,6})\\s+(.+)$', 2), 1, 6), ', ') AS sections FROM uploaded_files WHERE converted_md IS NOT NULL")
+@q("doc_07_common", "SELECT id, len(regexp_extract_all(converted_md, '(?m)^(#{1,6})\\s+(.+)$', 2)) AS section_count, array_to_string(regexp_extract_all(converted_md, '(?m)^(#{1,6})\\s+(.+)$', 2), ', ') AS sections FROM uploaded_files WHERE converted_md IS NOT NULL")
 def _(T):
     return documents.common(T("uploaded_files").filter("converted_md is not null"), "id", "converted_md").select("id", "section_count", "sections")
 
 
-@q("doc_08_enrich", "SELECT id, array_to_string(list_slice(regexp_extract_all(coalesce(description, ''), '([0-9][0-9,\\.]+)\\s*(?:万元?|吨|件|小时|天|%|个月|季度)', 1), 1, 6), ', ') AS thresholds FROM v")
+@q("doc_08_enrich", "SELECT id, array_to_string(regexp_extract_all(coalesce(description, ''), '([0-9][0-9,\\.]+)\\s*(?:万元?|吨|件|小时|天|%|个月|季度)', 1), ', ') AS thresholds FROM v")
 def _(T):
     return documents.enrich(T("v"), ["description"]).select("id", "thresholds")
 
@@ -424,8 +442,8 @@ def _(T):
 def _(T):
     from tributary.queries.stubs import sizes
 
-    pipeline.register("llm_structurize", lambda df, params: documents.structured_by(df, "id", "converted_md", sizes, auto=True))
-    return pipeline.OPERATIONS["llm_structurize"](T("uploaded_files").filter("converted_md is not null"), {}).select("id", c("fields")["size"].alias("size"))
+    pipeline.register("structurize_by_model", lambda df, params: documents.structured_by(df, "id", "converted_md", sizes, auto=True))
+    return pipeline.OPERATIONS["structurize_by_model"](T("uploaded_files").filter("converted_md is not null"), {}).select("id", c("fields")["size"].alias("size"))
 
 
 # rules and actions
@@ -528,7 +546,7 @@ def _(T):
 @q("act_02_publish", "SELECT id, CASE WHEN status = 'draft' AND confidence >= 0.8 THEN 'active' ELSE status END AS status, CASE WHEN status = 'retired' THEN false ELSE enabled END AS enabled FROM r")
 def _(T):
     publish = (c("status") == "draft") & (c("confidence") >= 0.8)
-    return T("r").select("id", F.when(publish, "active").otherwise(c("status")).alias("status"), F.when(c("status") == "retired", False).otherwise(c("enabled")).alias("enabled"))
+    return catalog.reviewed(T("r"), publish).select("id", "status", "enabled")
 
 
 @q("aud_01_audit_tools", "SELECT ontology_id, count(*) AS entities FROM v GROUP BY ontology_id")
@@ -577,7 +595,8 @@ def _(T):
 
 @q("mpg_06_first_row_wins", "SELECT \"供应商\" AS k, arg_min(row_id, row_id) AS row_id, count(*) AS source_row_count FROM purchase_orders WHERE trim(\"供应商\") <> '' GROUP BY 1")
 def _(T):
-    return T("purchase_orders").filter("trim(`供应商`) <> ''").groupBy(c("供应商").alias("k")).agg(F.min("row_id").alias("row_id"), F.count("*").alias("source_row_count"))
+    po = T("purchase_orders").filter("trim(`供应商`) <> ''").select(c("供应商").alias("k"), "row_id")
+    return catalog.collapsed(po, "k", ["row_id"], ["row_id"])
 
 
 @q("mpg_07_concepts", "SELECT substr(x,1,8)||'-'||substr(x,9,4)||'-'||substr(x,13,4)||'-'||substr(x,17,4)||'-'||substr(x,21,12) AS id, k AS entity_class FROM (SELECT k, md5('o1:' || k || ':concept') AS x FROM (VALUES ('Customer'), ('Nation')) t(k))")
@@ -670,8 +689,7 @@ def _(T):
 @q("mpg_18_second_pass", "SELECT DISTINCT target_entity AS source_entity, source_entity AS target_entity, type FROM e WHERE source_entity IS NOT NULL AND target_entity IS NOT NULL EXCEPT SELECT source_entity, target_entity, type FROM e")
 def _(T):
     e = T("e")
-    proposed = e.filter("source_entity is not null and target_entity is not null").select(c("target_entity").alias("source_entity"), c("source_entity").alias("target_entity"), "type").distinct()
-    return proposed.join(e, ["source_entity", "target_entity", "type"], "left_anti")
+    return catalog.new_relations(e, e.select(c("target_entity").alias("source_entity"), c("source_entity").alias("target_entity"), "type"))
 
 
 def _plan(T):
@@ -827,11 +845,12 @@ def _(T):
     return one.agg(F.count("*").alias("once")).crossJoin(F.broadcast(twice.agg(F.count("*").alias("twice"))))  # single rows
 
 
-@q("inc_07_versions", "SELECT load_no AS version_no, count(*) AS n FROM purchase_orders WHERE load_no <= 2 GROUP BY 1")
+@q("inc_07_versions", "SELECT load_no AS version_no, count(*) AS n FROM purchase_orders GROUP BY 1")
 def _(T):
     po = T("purchase_orders").select("row_id", "load_no")
     at = _folder(po)
-    for v in (1, 2):
+    versions = [r.load_no for r in po.select("load_no").distinct().collect()]  # one row a load
+    for v in versions:
         exports.write_version(po.filter(c("load_no") == v).select("row_id"), at, v)
     return po.sparkSession.read.parquet(at).groupBy("version_no").agg(F.count("*").alias("n"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tributary.operators import catalog
 from tributary.operators import graph as g
 from tributary.operators import links as ln
 from tributary.operators import profiling as p
@@ -38,7 +39,7 @@ def _(T):
     return ln.alternate_key_join(cells, "id", "cell", T("v"), "id", "name_cn")
 
 
-@q("joi_05_link_mapping", "SELECT DISTINCT l.row_id AS source, p.row_id AS target FROM logistics_fulfillment l JOIN purchase_orders p ON trim(l.\"产品编码\") = trim(p.\"物料编码\") AND p.load_no = 1")
+@q("joi_05_link_mapping", "SELECT DISTINCT l.row_id AS source, p.row_id AS target FROM logistics_fulfillment l JOIN purchase_orders p ON trim(l.\"产品编码\") = trim(p.\"物料编码\")")
 def _(T):
     s = T("logistics_fulfillment").select(c("row_id").alias("source"), F.trim("产品编码").alias("k"))
     t = T("purchase_orders").select(c("row_id").alias("target"), F.trim("物料编码").alias("k"))
@@ -80,21 +81,15 @@ _PATTERNS = [("供应", "物料", "SUPPLIES"), ("客户", "单据", "PLACES")]
 
 @q("joi_12_missing_relations", "SELECT s.id AS source, t.id AS target, p.rel AS relation FROM v s JOIN v t ON s.ontology_id = t.ontology_id AND s.id <> t.id JOIN (VALUES ('供应', '物料', 'SUPPLIES'), ('客户', '单据', 'PLACES')) p(sp, tp, rel) ON contains(s.type, sp) AND contains(t.type, tp) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.source_entity = s.id AND e.target_entity = t.id) ORDER BY 1, 2, 3 LIMIT 20")
 def _(T):
-    return ln.missing_relations(T("v"), T("e"), _PATTERNS)
+    return ln.missing_relations(T("v"), T("e"), _PATTERNS, 20)
 
 
-_KNOWN = "(SELECT name_cn AS k, min(id) AS id FROM v WHERE name_cn <> '' AND type IN ('指标', '概念') GROUP BY name_cn)"
+_KNOWN = "(SELECT name_cn AS k, min(id) AS id FROM v WHERE name_cn <> '' GROUP BY name_cn)"
 _ASK = "(SELECT DISTINCT n AS name FROM (SELECT unnest(linked_entities) AS n FROM a) WHERE n <> '')"
 _SHARE = "len(list_distinct(list_intersect(string_split(name, ''), string_split(k, ''))))"
 
 
 @q("joi_13_fuzzy_names", f"SELECT name, id FROM {_ASK} JOIN {_KNOWN} ON name = k UNION ALL SELECT name, id FROM (SELECT name, k, id, {_SHARE} AS s FROM {_ASK} JOIN {_KNOWN} ON contains(name, k) OR contains(k, name)) WHERE name NOT IN (SELECT k FROM {_KNOWN}) QUALIFY row_number() OVER (PARTITION BY name ORDER BY s DESC, k DESC) = 1")
-def _(T):
-    asked = T("a").select(F.explode("linked_entities").alias("name"))
-    return ln.resolve_names(asked, "name", T("v").filter(c("type").isin("指标", "概念")), "name_cn", "id")
-
-
-@q("joi_13_fuzzy_names_all")
 def _(T):
     asked = T("a").select(F.explode("linked_entities").alias("name"))
     return ln.resolve_names(asked, "name", T("v"), "name_cn", "id")
@@ -113,14 +108,13 @@ def _(T):
 
 @q("joi_16_explode_with_fallback", "SELECT a.id AS id, x.ref AS ref, r.id AS rule FROM a LEFT JOIN LATERAL (SELECT unnest(a.linked_logic_ids) AS ref) x ON true LEFT JOIN r ON r.id = x.ref")
 def _(T):
-    x = T("a").select("id", F.explode_outer("linked_logic_ids").alias("ref"))
-    return x.join(T("r").select(c("id").alias("rule")), c("ref") == c("rule"), "left").select("id", "ref", "rule")
+    return catalog.with_references(T("a"), "id", "linked_logic_ids", T("r"), "id", "rule")
 
 
 @q("joi_17_dataset_pairs", "SELECT a AS source, b AS target FROM (VALUES ('customer'), ('orders'), ('nation')) x(a), (VALUES ('customer'), ('orders'), ('nation')) y(b) WHERE a <> b")
 def _(T):
     names = ["customer", "orders", "nation"]  # configuration, not data
-    return T("region").sparkSession.createDataFrame([(a, b) for a in names for b in names if a != b], "source string, target string")
+    return T("region").sparkSession.createDataFrame(catalog.ordered_pairs(names), "source string, target string")
 
 
 @q("joi_18_edit_overlay", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'X' ELSE c_mktsegment END AS c_mktsegment FROM customer")
@@ -148,15 +142,12 @@ _KEPT = "(SELECT list(id) FROM r WHERE status = 'active')"
 
 @q("joi_21_lineage_retention", f"SELECT id FROM a WHERE list_has_any(linked_logic_ids, {_KEPT})")
 def _(T):
-    kept = T("r").filter("status = 'active'").select(c("id").alias("ref"))
-    hit = T("a").select("id", F.explode("linked_logic_ids").alias("ref")).join(kept, "ref", "left_semi").select("id").distinct()
-    return T("a").select("id").join(hit, "id", "left_semi")
+    return catalog.retained(T("a"), "id", "linked_logic_ids", T("r").filter("status = 'active'"), "id").select("id")
 
 
 @q("joi_22_orphan_datasets", "SELECT DISTINCT ontology_id FROM entities WHERE ontology_id NOT IN (SELECT ontology_id FROM uploaded_files WHERE file_size > 0 AND converted_md <> '')")
 def _(T):
-    live = T("uploaded_files").filter("file_size > 0 and converted_md <> ''").select("ontology_id")
-    return T("entities").select("ontology_id").distinct().join(live, "ontology_id", "left_anti")
+    return catalog.without_live(T("entities"), "ontology_id", T("uploaded_files").filter("file_size > 0 and converted_md <> ''"))
 
 
 @q("agg_01_counts", "SELECT (SELECT count(DISTINCT ontology_id) FROM v) AS ontologies, (SELECT count(*) FROM v) AS entities, (SELECT count(*) FROM r) AS rules, (SELECT count(*) FROM a) AS actions")
@@ -175,15 +166,13 @@ def _(T):
 
 @q("agg_03_parent_counts", "SELECT p.ontology_id AS ontology_id, count(r.id) AS rules FROM (SELECT ontology_id, max(created_at) AS m FROM v GROUP BY ontology_id ORDER BY m DESC, ontology_id LIMIT 6) p LEFT JOIN r ON r.ontology_id = p.ontology_id GROUP BY p.ontology_id")
 def _(T):
-    top = T("v").groupBy("ontology_id").agg(F.max("created_at").alias("m")).orderBy(F.desc("m"), "ontology_id").limit(6)
-    n = T("r").groupBy("ontology_id").agg(F.count("*").alias("rules"))
-    return top.join(n, "ontology_id", "left").select("ontology_id", F.coalesce("rules", F.lit(0)).alias("rules"))
+    return catalog.child_counts(catalog.latest(T("v"), "ontology_id", "created_at", 6), "ontology_id", rules=T("r")).drop("created_at")
 
 
 @q("agg_04_page_counts", "SELECT o.ontology_id AS ontology_id, o.n AS entity_count, coalesce(x.n, 0) AS relation_count FROM (SELECT ontology_id, count(*) AS n FROM v GROUP BY 1) o LEFT JOIN (SELECT ontology_id, count(*) AS n FROM e GROUP BY 1) x ON x.ontology_id = o.ontology_id ORDER BY 1 LIMIT 3")
 def _(T):
-    a, b = T("v").groupBy("ontology_id").agg(F.count("*").alias("entity_count")), T("e").groupBy("ontology_id").agg(F.count("*").alias("relation_count"))
-    return a.join(b, "ontology_id", "left").na.fill(0).orderBy("ontology_id").limit(3)
+    counts = catalog.child_counts(T("v").select("ontology_id").distinct(), "ontology_id", entity_count=T("v"), relation_count=T("e"))
+    return catalog.page(counts, ["ontology_id"], 3)
 
 
 @q("agg_05_type_histogram", "SELECT 'node' AS kind, coalesce(type, 'Entity') AS type, count(*) AS n FROM v GROUP BY 2 UNION ALL SELECT 'edge', coalesce(type, 'RELATED'), count(*) FROM e GROUP BY 2")
@@ -247,7 +236,8 @@ def _(T):
 
 @q("agg_13_collapsed_rows", "SELECT \"订单号\" AS k, arg_min(\"供应商\", row_id) AS supplier, count(*) AS source_row_count FROM (SELECT *, coalesce(\"供应商\", '') AS z FROM purchase_orders WHERE \"供应商\" IS NOT NULL) GROUP BY 1")
 def _(T):
-    return T("purchase_orders").filter(c("供应商").isNotNull()).groupBy(c("订单号").alias("k")).agg(F.min_by("供应商", "row_id").alias("supplier"), F.count("*").alias("source_row_count"))
+    po = T("purchase_orders").filter(c("供应商").isNotNull()).select(F.coalesce("订单号", F.lit("\0")).alias("k"), c("供应商").alias("supplier"), "row_id")
+    return catalog.collapsed(po, "k", ["supplier"], ["row_id"]).withColumn("k", F.nullif("k", F.lit("\0")))
 
 
 @q("agg_14_states", "SELECT feed, list_sort(list(DISTINCT trim(\"状态\")) FILTER (WHERE trim(\"状态\") <> '')) AS states FROM purchase_orders GROUP BY feed")
@@ -275,8 +265,7 @@ def _(T):
 
 @q("agg_18_reconciliation", "SELECT coalesce(x.ontology_id, y.ontology_id) AS ontology_id, x.n AS n_entities, y.n AS n_versions FROM (SELECT ontology_id, count(*) AS n FROM v GROUP BY 1) x FULL JOIN (SELECT ontology_id, count(*) AS n FROM entities GROUP BY 1) y ON x.ontology_id = y.ontology_id WHERE x.n IS DISTINCT FROM y.n")
 def _(T):
-    x, y = T("v").groupBy("ontology_id").agg(F.count("*").alias("n_entities")), T("entities").groupBy("ontology_id").agg(F.count("*").alias("n_versions"))
-    return x.join(y, "ontology_id", "full").filter(~c("n_entities").eqNullSafe(c("n_versions")))
+    return catalog.reconciled(T("v"), T("entities"), "ontology_id", ("n_entities", "n_versions"))
 
 
 @q("agg_19_edge_patterns", "SELECT s.type AS source_type, e.type AS type, t.type AS target_type, count(*) AS n FROM e JOIN v s ON s.id = e.source_entity JOIN v t ON t.id = e.target_entity GROUP BY ALL")
@@ -314,7 +303,7 @@ def _(T):
 
 @q("agg_25_keep_first", "SELECT name_cn, arg_min(id, created_at) AS id FROM v WHERE name_cn <> '' GROUP BY name_cn")
 def _(T):
-    return T("v").filter("name_cn <> ''").groupBy("name_cn").agg(F.min_by("id", "created_at").alias("id"))
+    return catalog.keep_first(T("v").filter("name_cn <> ''").select("name_cn", "id", "created_at"), ["name_cn"], ["created_at"]).select("name_cn", "id")
 
 
 _RICH = "coalesce(length(description), 0) + coalesce(length(name_en), 0)"
@@ -327,7 +316,11 @@ def _(T):
     return keep_richest(T("v").filter("name_cn <> ''"), ["name_cn"], ["description", "name_en"], ["created_at", "id"]).select("name_cn", "id")
 
 
-@q("agg_27_fill_blanks_of_first")
+_SIZE = "(coalesce(length({0}.n), 0) + coalesce(length({0}.d), 0) + coalesce(length({0}.t), 0))"
+_FILL = ", ".join(f"{x} := coalesce(nullif(acc.{x}, ''), CASE WHEN {_SIZE.format('x')} > {_SIZE.format('acc')} THEN x.{x} END)" for x in "ndt")
+
+
+@q("agg_27_fill_blanks_of_first", f"SELECT name_cn, m.n AS name_en, m.d AS description, m.t AS type FROM (SELECT name_cn, list_reduce(list(struct_pack(n := name_en, d := description, t := type) ORDER BY created_at NULLS FIRST, id), lambda acc, x: struct_pack({_FILL})) AS m FROM v WHERE name_cn <> '' GROUP BY name_cn)")
 def _(T):
     from tributary.operators.merge import fold_richer
 

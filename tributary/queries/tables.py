@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tributary.operators import catalog
 from tributary.operators import cleansing as k
 from tributary.operators import profiling as p
 from tributary.operators.column_profile import COLUMNS
@@ -376,8 +377,7 @@ def _(T):
 
 @q("srt_06_samples", "SELECT ontology_id, list_slice(list(id ORDER BY id), 1, 5) AS ids FROM v GROUP BY ontology_id")
 def _(T):
-    rn = F.row_number().over(Window.partitionBy("ontology_id").orderBy("id"))
-    return T("v").select("ontology_id", "id", rn.alias("n")).filter("n <= 5").groupBy("ontology_id").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    return catalog.samples(T("v"), "ontology_id", "id", 5).withColumnRenamed("samples", "ids")
 
 
 @q("set_01_union", "SELECT s_name AS name FROM supplier UNION ALL SELECT c_name FROM customer")
@@ -404,9 +404,7 @@ def _(T):
 
 @q("set_05_equality", "SELECT (SELECT count(*) FROM (SELECT id FROM v EXCEPT SELECT id FROM entities)) = 0 AND (SELECT count(*) FROM (SELECT id FROM entities EXCEPT SELECT id FROM v)) = 0 AS equal")
 def _(T):
-    a, b = T("v").select("id"), T("entities").select("id").distinct()
-    diff = a.exceptAll(b).unionAll(b.exceptAll(a))
-    return diff.agg((F.count("*") == 0).alias("equal"))
+    return catalog.same_rows(T("v").select("id"), T("entities").select("id").distinct())
 
 
 @q("set_06_ordered_distinct", "SELECT id, (SELECT list(x ORDER BY i) FROM (SELECT x, min(i) AS i FROM (SELECT unnest(string_split(name_cn, '')) AS x, generate_subscripts(string_split(name_cn, ''), 1) AS i) GROUP BY x)) AS chars FROM v WHERE name_cn <> ''")

@@ -8,7 +8,7 @@ import re
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 from pyspark.sql.types import StructType
@@ -104,19 +104,43 @@ def records_of(body: object, data_path: str | None = None) -> list:
     return []
 
 
-def http_page(url: str, **parameters: object) -> object:
+def records_in(body: Column, record: str) -> Column:
+    """The records of a reply's JSON text as an array of ``record``: the body if it is a list, else the first list among the known places."""
+    return F.coalesce(*[F.from_json(F.get_json_object(body, f"${p}"), f"array<{record}>") for p in ("[*]", *(f".{k}" for k in RECORD_PATHS))])
+
+
+TIMEOUT = 30
+
+
+def http_page(url: str, headers: dict[str, str] | None = None, timeout: float = TIMEOUT, **parameters: object) -> object:
     from urllib.parse import urlencode
-    from urllib.request import urlopen
+    from urllib.request import Request, urlopen
 
-    with urlopen(f"{url}?{urlencode(parameters)}") as reply:  # noqa: S310
+    asked = Request(f"{url}{'&' if '?' in url else '?'}{urlencode(parameters)}", headers=headers or {})  # noqa: S310
+    with urlopen(asked, timeout=timeout) as reply:  # noqa: S310
         return json.load(reply)
 
 
+def auth_headers(options) -> dict[str, str]:
+    """The headers of bearer and api-key authentication (options auth_type, token, api_key, api_key_header)."""
+    kind = options.get("auth_type", "")
+    if kind == "bearer":
+        return {"Authorization": f"Bearer {options.get('token', '')}"}
+    if kind in ("api_key", "apikey"):
+        return {options.get("api_key_header", "X-API-Key"): options.get("api_key", "")}
+    return {}
+
+
+def endpoint(base_url: str, resource: str) -> str:
+    """The address of a resource: itself if it is one, else below the base."""
+    return resource if "://" in resource or not base_url else f"{base_url.rstrip('/')}/{resource.lstrip('/')}"
+
+
 #: Ranges of pages are read in parallel up to this page, the rest by one open-ended partition.
 SPLIT_PAGES, PAGE_SIZE = 100, 100
 
 
-def pages(fetch: Callable[..., object], url: str, first: int = 1, last: int | None = None, size: int = PAGE_SIZE, data_path: str | None = None, part: bool = False, **more: object) -> Iterator[object]:
+def pages(fetch: Callable[..., object], url: str, first: int = 1, last: int | None = None, size: int = PAGE_SIZE, data_path: str | None = None, part: bool = False, page_param: str = "page", size_param: str = "page_size", **more: object) -> Iterator[object]:
     """The records from page ``first`` on: stops at an empty page, a list body, or a page of another size without ``next``.
 
     Records beyond ``last`` are an error, unless this is a ``part`` of the pages and others read on. A service
@@ -126,7 +150,7 @@ def pages(fetch: Callable[..., object], url: str, first: int = 1, last: int | No
     for page in itertools.count(first):
         if part and last is not None and page > last:
             return
-        body = fetch(url, page=page, size=size, **more)
+        body = fetch(url, **{page_param: page, size_param: size}, **more)
         found = records_of(body, data_path)
         again = bool(found) and found == before
         if again and body.get("next"):
@@ -144,8 +168,11 @@ def pages(fetch: Callable[..., object], url: str, first: int = 1, last: int | No
 class RestSource(DataSource):
     """Records of a paged REST service as JSON text, one partition for each range of pages.
 
-    Options: url, size, pages (most pages, by default all), pages_a_partition, since; ``fetch`` is the name module:function of a
-    function (url, **parameters) -> body, by default over HTTP.
+    Options: url, size, pages (most pages, by default all), pages_a_partition, since; page_param, size_param and
+    delta_param name the parameters of page, size and since; auth_type (bearer or api_key) with token or
+    api_key and api_key_header, timeout in seconds; ``fetch`` is the name module:function of a function
+    (url, **parameters) -> body, by default over HTTP. The first page is read on the driver to see whether the
+    service pages at all.
     """
 
     @classmethod
@@ -167,11 +194,16 @@ def _fetcher(options) -> Callable[..., object]:
 
     named = options.get("fetch")
     if not named:
-        return http_page
+        headers, timeout = auth_headers(options), float(options.get("timeout", TIMEOUT))
+        return lambda url, **parameters: http_page(url, headers, timeout, **parameters)
     module, _, function = named.partition(":")
     return getattr(importlib.import_module(module), function)
 
 
+def _names(options) -> dict[str, str]:
+    return {k: options[k] for k in ("page_param", "size_param") if k in options}
+
+
 class _Pages(InputPartition):
     def __init__(self, first: int, last: int | None, part: bool) -> None:
         super().__init__((first, last, part))
@@ -185,14 +217,20 @@ class _RestReader(DataSourceReader):
         most = int(self.options["pages"]) if "pages" in self.options else None
         if "since" in self.options:  # a delta may come in one reply whatever page is asked for
             return [_Pages(1, most, False)]
+        o, size = self.options, int(self.options.get("size", PAGE_SIZE))
+        fetch, names = _fetcher(o), {"page_param": "page", "size_param": "page_size", **_names(o)}
+        body, again = (fetch(o.get("url", ""), **{names["page_param"]: k, names["size_param"]: size}) for k in (1, 2))
+        found = records_of(body, o.get("data_path"))
+        if isinstance(body, list) or found == records_of(again, o.get("data_path")) or not body.get("next") and len(found) != size:
+            return [_Pages(1, most, False)]  # one reply holds all; further pages would repeat it
         n, step = most or SPLIT_PAGES, int(self.options.get("pages_a_partition", 10))
         ranges = [_Pages(i, min(n, i + step - 1), most is None or i + step <= n) for i in range(1, n + 1, step)]
         return ranges if most else [*ranges, _Pages(n + 1, None, False)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         first, last, part = partition.value
-        more = {"since": self.options["since"]} if "since" in self.options else {}
-        for r in pages(_fetcher(self.options), self.options.get("url", ""), first, last, int(self.options.get("size", PAGE_SIZE)), self.options.get("data_path"), part, **more):
+        more = {self.options.get("delta_param", "since"): self.options["since"]} if "since" in self.options else {}
+        for r in pages(_fetcher(self.options), self.options.get("url", ""), first, last, int(self.options.get("size", PAGE_SIZE)), self.options.get("data_path"), part, **_names(self.options), **more):
             yield (json.dumps(r, ensure_ascii=False, sort_keys=True),)
 
 
@@ -207,7 +245,7 @@ class _RestStream(SimpleDataSourceStreamReader):
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         o = self.options
-        found = list(pages(_fetcher(o), o.get("url", ""), size=int(o.get("size", PAGE_SIZE)), data_path=o.get("data_path"), since=start["since"]))
+        found = list(pages(_fetcher(o), o.get("url", ""), size=int(o.get("size", PAGE_SIZE)), data_path=o.get("data_path"), **_names(o), **{o.get("delta_param", "since"): start["since"]}))
         key = self.options.get("key", "updated_at")
         latest = max([str(r.get(key, "")) for r in found], default=start["since"])
         return iter([(json.dumps(r, ensure_ascii=False, sort_keys=True),) for r in found]), {"since": max(latest, start["since"])}
@@ -219,21 +257,29 @@ class _RestStream(SimpleDataSourceStreamReader):
 
 class RestConnector(Connector):
     def list_resources(self) -> list[str]:
-        return [str(self.config.get("url", ""))]
+        """The configured endpoints, or the one address."""
+        listed = self.config.get("endpoints") or []
+        return [x["path"] if isinstance(x, dict) else str(x) for x in listed] or [str(self.config.get("url", ""))]
 
-    def _load(self, **more: object) -> DataFrame:
+    def _load(self, resource: str, **more: object) -> DataFrame:
         ship(self.spark)
         self.spark.dataSource.register(RestSource)
         r = self.spark.read.format("tributary_rest")
-        for k, v in {**self.config, **more}.items():
+        plain = {k: v for k, v in self.config.items() if k not in ("endpoints", "base_url")}
+        for k, v in {**plain, **more, "url": endpoint(str(self.config.get("base_url", "")), resource)}.items():
             r = r.option(k, str(v))
         return r.load()
 
     def pull_full(self, resource: str) -> DataFrame:
-        return self._load(url=resource)
+        return self._load(resource)
+
+    def pull_sample(self, resource: str, limit: int = 100) -> DataFrame:
+        """Of the first page only: no more is asked for than a sample needs."""
+        rows = records_of(_fetcher(self.config)(endpoint(str(self.config.get("base_url", "")), resource), **{str(self.config.get("page_param", "page")): 1, str(self.config.get("size_param", "page_size")): limit}), self.config.get("data_path"))
+        return self.spark.createDataFrame([(json.dumps(r, ensure_ascii=False, sort_keys=True),) for r in rows[:limit]], "record string")
 
     def pull_delta(self, resource: str, watermark: str | None = None, since: object = None) -> DataFrame:
-        return self._load(url=resource, since=since) if since is not None else self.pull_full(resource)
+        return self._load(resource, since=since) if since is not None else self.pull_full(resource)
 
 
 class MongoSource(DataSource):
@@ -293,6 +339,30 @@ REGISTRY: dict[str, type[Connector]] = {
 }
 
 
+def kinds() -> list[str]:
+    """The kinds of connection that a user may name."""
+    return sorted(k for k in REGISTRY if k not in ("catalog", "jdbc"))
+
+
+def sources_of(nodes: DataFrame, node_source: str, files_: DataFrame, file_id: str, file_name: str) -> DataFrame:
+    """(source, file): the file that each connector node names, by id first, then by the file name without its extension; each once.
+
+    Of several files of one name the one with the smallest id is taken; nodes that name no file are left out.
+    """
+    stem = F.regexp_replace(F.col(file_name), r"\.[^.]+$", "")
+    known = files_.select(F.col(file_id).alias("__id"), stem.alias("__stem"))
+    by_id, by_stem = known.select("__id").distinct(), known.groupBy("__stem").agg(F.min("__id").alias("__near"))
+    asked = nodes.select(F.col(node_source).alias("source")).filter("source is not null").distinct()
+    j = asked.join(by_id, F.col("source") == F.col("__id"), "left").join(by_stem, F.regexp_replace("source", r"\.[^.]+$", "") == F.col("__stem"), "left")
+    return j.select("source", F.coalesce("__id", "__near").alias("file")).filter("file is not null")
+
+
+def migrated(old: DataFrame, renamed: dict[str, str], defaults: dict[str, Column]) -> DataFrame:
+    """Rows of an older layout in the new one: columns renamed, and a value where the old one has none or lacks the column."""
+    out = old.withColumnsRenamed(renamed)
+    return out.withColumns({k: F.coalesce(F.col(k), v) if k in out.columns else v for k, v in defaults.items()})
+
+
 def connector(spark: SparkSession, kind: str, **config: object) -> Connector:
     if kind not in REGISTRY:
         raise ValueError(f"unknown kind of connection {kind!r}; known are {sorted(REGISTRY)}")

@@ -29,9 +29,13 @@ def union_of(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def next_version(versions: DataFrame, dataset: Column | str, content: Column) -> DataFrame:
-    """(dataset, version_no, checksum): one more than the last version, and a short hash of the first 1,024 characters."""
-    return versions.groupBy(dataset).agg((F.max("version_no") + 1).alias("version_no"), F.substring(F.sha2(F.substring(F.max(content), 1, 1024), 256), 1, 16).alias("checksum"))
+def next_version(versions: DataFrame, dataset: Column | str, content: Column, prefix: int | None = None) -> DataFrame:
+    """(dataset, version_no, checksum): one more than the last version, and a short hash of the content.
+
+    ``prefix``: only of so many characters; the reference has 1,024.
+    """
+    last = F.max(content)
+    return versions.groupBy(dataset).agg((F.max("version_no") + 1).alias("version_no"), F.substring(F.sha2(F.substring(last, 1, prefix) if prefix else last, 256), 1, 16).alias("checksum"))
 
 
 def write_version(df: DataFrame, path: str, version_no: int) -> None:
@@ -73,7 +77,7 @@ def delete_scope(vertices: DataFrame, edges: DataFrame, ontology_id: str) -> tup
     """A graph without one ontology's vertices and without every edge at them."""
     gone = vertices.filter(F.col("ontology_id") == ontology_id).select("id")
     left = edges.join(gone.withColumnRenamed("id", "source_entity"), "source_entity", "left_anti").join(gone.withColumnRenamed("id", "target_entity"), "target_entity", "left_anti")
-    return vertices.filter(F.col("ontology_id") != ontology_id), left.select(*edges.columns)
+    return vertices.filter(~F.col("ontology_id").eqNullSafe(F.lit(ontology_id))), left.select(*edges.columns)
 
 
 def graph_nodes(vertices: DataFrame) -> DataFrame:
