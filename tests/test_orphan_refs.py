@@ -93,3 +93,19 @@ def test_different_keys_with_one_hash():
     cell.add(np.array([1, 5, 5, 5, 9]), pa.array(list("abcde")), np.array([1, 2, 3, 4, 5]))
     found, live = cell.probe(np.array([5, 5, 5, 5, 1, 7]), pa.array(list("dbcxaz")))
     assert found.tolist() == [True, True, True, False, True, False] and live[found].tolist() == [4, 2, 3, 1]
+
+
+def test_a_hot_key_is_spread(spark):
+    """One key has a tenth of all references, another range none: no cell gets more than it should, and none is lost."""
+    from pyspark.sql import functions as F
+
+    from tributary.operators.orphan_refs import orphans, placed
+
+    keys = F.when(F.col("id") % 10 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 3000))
+    refs = spark.range(20_000).select(F.concat(F.lit("entity\u0001\u0001"), keys).alias("key"), F.lit("t").alias("table_name"), F.lit("f").alias("field_name"), F.col("id").cast("string").alias("row_key"), keys.alias("ref_key"), F.lit(T0).cast("timestamp_ntz").alias("created_at"))
+    parents = spark.range(2_000).select(F.concat(F.lit("entity\u0001\u0001k"), "id").alias("key"), F.lit(T0).cast("timestamp_ntz").alias("first_live"))
+    cells = placed(parents, refs, 2_000, parents_a_range=250, references_a_cell=500)
+    assert cells.filter("is_ref = 1").groupBy("cell", "salt").count().agg({"count": "max"}).first()[0] <= 600
+    assert cells.filter("is_ref = 1").count() == 20_000
+    few, plain = orphans(parents, refs, 2_000, parents_a_range=250, references_a_cell=500), orphans(parents, refs, 2_000)
+    assert sorted(few.collect()) == sorted(plain.collect()) and few.count() > 2_000
