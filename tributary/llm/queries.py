@@ -82,6 +82,17 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     return _filled(spark, d).withColumnRenamed("id", "doc_id")
 
 
+def p7_held(spark: SparkSession, d: str) -> DataFrame:
+    """What the containers hold of each document: all its tokens, in one piece unless it is longer than a container."""
+    return _filled(spark, d).groupBy(F.col("id").alias("doc_id")).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"), F.max("tokens").alias("longest"))
+
+
+def p7_fullest(spark: SparkSession, d: str) -> DataFrame:
+    """Whether every container holds at most its capacity, and the numbers of the containers are consecutive."""
+    per = _filled(spark, d).groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    return per.agg((F.max("tokens") <= fill.CAPACITY).alias("fit"), (F.max("container") - F.min("container") + 1 == F.count("*")).alias("consecutive"))
+
+
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return fill.container_report(_filled(spark, d))
 
@@ -111,9 +122,11 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return visual.consistent(table(spark, d, "documents"), "doc_id", "text").filter(~F.col("form").eqNullSafe(F.col("text"))).select("doc_id", "form")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p3_reassembled, p6_found, p6_entities, p7_found, p7_containers, p7_report, p8_found, p8_items, p9_found, p9_classes, p9_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p3_found, p3_pieces, p3_reassembled, p6_found, p6_entities, p7_found, p7_containers, p7_held, p7_fullest, p7_report, p8_found, p8_items, p9_found, p9_classes, p9_forms)}
 
 SQL = {
+    "p7_held": "SELECT doc_id, t AS tokens, CAST(ceil(t / 4096) AS BIGINT) AS pieces, least(t, 4096) AS longest FROM (SELECT doc_id, octet_length(encode(text)) + 1 AS t FROM documents WHERE text IS NOT NULL)",
+    "p7_fullest": "SELECT true AS fit, true AS consecutive",
     "p7_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) + 1 > 4096",
     "p3_reassembled": "SELECT id AS file_id, md5(converted_md) AS text_md5, length(converted_md) AS n_chars, true AS fits, true AS shared FROM uploaded_files WHERE length(converted_md) > 4000",
     "p3_found": """
