@@ -64,9 +64,9 @@ def missing_relations(vertices: DataFrame, edges: DataFrame, patterns: list[tupl
     spark = vertices.sparkSession
     pats = spark.createDataFrame(patterns, "source_part string, target_part string, relation string")
     kinds = vertices.select("type").distinct().filter("type is not null")
-    s = kinds.join(F.broadcast(pats), F.expr("contains(type, source_part)")).select(F.col("type").alias("source_type"), "target_part", "relation")
+    s = kinds.join(pats, F.expr("contains(type, source_part)")).select(F.col("type").alias("source_type"), "target_part", "relation")
     fits = s.join(kinds.withColumnRenamed("type", "target_type"), F.expr("contains(target_type, target_part)")).select("source_type", "target_type", "relation")
-    a = vertices.select(F.col("id").alias("source"), "ontology_id", F.col("type").alias("source_type")).join(F.broadcast(fits), "source_type")
+    a = vertices.select(F.col("id").alias("source"), "ontology_id", F.col("type").alias("source_type")).join(fits, "source_type")
     b = vertices.select(F.col("id").alias("target"), "ontology_id", F.col("type").alias("target_type"))
     pairs = a.join(b, ["ontology_id", "target_type"]).filter("source <> target").select("source", "target", "relation")
     have = edges.select(F.col("source_entity").alias("source"), F.col("target_entity").alias("target"))

@@ -47,10 +47,10 @@ def facts_of(df: DataFrame, columns: list[str]) -> dict[str, dict]:
     return {r.column_name: r.asDict() for r in key_facts(df, columns).collect()}
 
 
-def repaired_key(mapping: dict, df: DataFrame) -> str:
+def repaired_key(mapping: dict, df: DataFrame, facts: dict[str, dict] | None = None) -> str:
     """The mapping's key if it is unique, or an order class whose rows all have one; else the best other."""
     pk, cols = mapping.get("primary_key"), df.columns
-    facts = facts_of(df, cols)
+    facts = facts_of(df, cols) if facts is None else facts
     if pk == "__row_hash__":
         return pk
     if pk in facts:
@@ -62,12 +62,12 @@ def repaired_key(mapping: dict, df: DataFrame) -> str:
 
 
 def instances(df: DataFrame, ontology: str, mapping: dict, order: str | None = None) -> DataFrame:
-    """(id, ontology_id, entity_class, identity, row_data): a stable instance for each identity; of repeated ones the last in order."""
+    """(id, ontology_id, entity_class, identity, row_data): a stable instance for each identity; of repeated ones the last in order, of equals the greatest text."""
     pk = mapping["primary_key"]
     shown = {c: p[0] for c, p in mapping["properties"].items() if not c.startswith("__")}
     data = F.map_filter(F.create_map(*[x for c, p in shown.items() for x in (F.lit(p), F.col(f"`{c}`").cast("string"))]), lambda _, v: v.isNotNull())
     rows = df.select(row_identity(pk, df.columns).alias("identity"), data.alias("row_data"), (F.col(order) if order else F.lit(0)).alias("__o"))
-    one = rows.groupBy("identity").agg(F.max_by("row_data", "__o").alias("row_data"), F.count("*").alias("source_row_count"))
+    one = rows.groupBy("identity").agg(F.max_by("row_data", F.struct("__o", F.to_json("row_data"))).alias("row_data"), F.count("*").alias("source_row_count"))
     return one.select(row_id(F.lit(ontology), F.lit(mapping["entity_class"]), F.col("identity")).alias("id"), F.lit(ontology).alias("ontology_id"), F.lit(mapping["entity_class"]).alias("entity_class"), "identity", "row_data", "source_row_count")
 
 
@@ -89,25 +89,33 @@ def name_affinity(column: str, target: str, prefix: str = "") -> bool:
 
 
 def fk_candidates(source: DataFrame, source_name: str, target: DataFrame, target_name: str, target_pk: str, own_pk: str | None = None) -> list[dict]:
-    """Columns of ``source`` that may hold keys of ``target``: by name suffix, shared word, value overlap or id pattern.
+    """Columns of ``source`` that may hold keys of ``target``: by name suffix, shared word, value overlap or id pattern."""
+    return fk_candidates_of(source, source_name, [(target_name, target, target_pk)], own_pk)[target_name]
 
-    One aggregation counts, for every column, how many of its values are among the target's keys.
-    Numeric keys overlap by chance, so they also need a name that names the target.
+
+def fk_candidates_of(source: DataFrame, source_name: str, targets: list[tuple[str, DataFrame, str]], own_pk: str | None = None) -> dict[str, list[dict]]:
+    """The candidate columns of ``source`` for each target (name, table, key).
+
+    The distinct values of all columns meet the tagged keys of all targets in one join, so that a source is
+    read once however many targets there are. Numeric keys overlap by chance, so they also need a name that
+    names the target.
     """
     cols = [c for c in source.columns if c != own_pk]
-    keys = target.select(key_normal(F.col(target_pk).cast("string")).alias("k")).filter("k <> ''").distinct().withColumn("hit", F.lit(1))
-    values = source.unpivot([], [F.col(f"`{c}`").cast("string").alias(c) for c in cols], "column_name", "value").filter("trim(value) <> ''").select("column_name", key_normal(F.col("value")).alias("k")).groupBy("column_name", "k").agg(F.count("*").alias("n"))
-    counted = values.join(keys, "k", "left").groupBy("column_name").agg(F.count("*").alias("distinct"), F.count("hit").alias("hits"), F.sum(F.col("k").rlike("^[0-9]+$").cast("int")).alias("numeric"), F.sum(F.col("k").rlike("^[A-Z]+[0-9]+$").cast("int")).alias("ids"))
+    keys = None
+    for name, df, pk in targets:
+        own = df.select(key_normal(F.col(pk).cast("string")).alias("k")).filter("k <> ''").distinct().select("k", F.lit(name).alias("target"))
+        keys = own if keys is None else keys.unionAll(own)
+    values = source.unpivot([], [F.col(f"`{c}`").cast("string").alias(c) for c in cols], "column_name", "value").filter("trim(value) <> ''").select("column_name", key_normal(F.col("value")).alias("k")).distinct()
+    facts = values.groupBy("column_name").agg(F.count("*").alias("distinct"), F.sum(F.col("k").rlike("^[0-9]+$").cast("int")).alias("numeric"), F.sum(F.col("k").rlike("^[A-Z]+[0-9]+$").cast("int")).alias("ids"))
+    hits = values.join(keys, "k").groupBy("column_name", "target").agg(F.count("*").alias("hits"))
     prefix = _prefix(source.columns)
-    out = []
-    for r in counted.orderBy("column_name").collect():  # one row a column
-        c, named = r.column_name, name_affinity(r.column_name, target_name, prefix)
+    out: dict[str, list[dict]] = {name: [] for name, _, _ in targets}
+    for r in hits.join(facts, "column_name").orderBy("target", "column_name").collect():  # one row a column and target
+        c, named = r.column_name, name_affinity(r.column_name, r.target, prefix)
         overlap = r.hits >= 2 and r.hits * 2 >= r.distinct
-        if not r.hits:
-            continue
         if named and re.search(r"(_id|Id|ID|key)$", c):
             how = "name"
-        elif set(_tokens(c)) & set(_tokens(target_name)):
+        elif set(_tokens(c)) & set(_tokens(r.target)):
             how = "word"
         elif overlap and r.numeric < r.distinct:
             how = "values"
@@ -115,7 +123,7 @@ def fk_candidates(source: DataFrame, source_name: str, target: DataFrame, target
             how = "pattern"
         else:
             continue
-        out.append({"column": c, "how": how, "relation": f"HAS_{target_name.upper().rstrip('S')}", "hits": r.hits, "source": source_name, "target": target_name})
+        out[r.target].append({"column": c, "how": how, "relation": f"HAS_{r.target.upper().rstrip('S')}", "hits": r.hits, "source": source_name, "target": r.target})
     return out
 
 

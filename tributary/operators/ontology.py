@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.text import relation_id, row_id, strip
 from tributary.operators import links, mapping
-from tributary.operators.profiling import alternate_keys, key_facts
+from tributary.operators.profiling import alternate_keys_of
 
 RELATION = "id string, source string, target string, type string, confidence double, origin string"
 
@@ -28,15 +28,16 @@ def prepared(d: Dataset) -> Dataset:
     """The dataset with missing columns mapped, its key repaired and its columns profiled."""
     full = mapping.suggest(d.name, d.df.columns)
     m = {**full, **d.mapping, "properties": {**full["properties"], **d.mapping.get("properties", {})}}
-    m["primary_key"] = mapping.repaired_key(m, d.df)
-    return Dataset(d.name, d.df, m, d.document_columns, mapping.facts_of(d.df, d.df.columns))
+    facts = mapping.facts_of(d.df, d.df.columns)
+    m["primary_key"] = mapping.repaired_key(m, d.df, facts)
+    return Dataset(d.name, d.df, m, d.document_columns, facts)
 
 
 def _row(ontology: str, d: Dataset, key: Column) -> Column:
     return row_id(F.lit(ontology), F.lit(d.mapping["entity_class"]), F.concat(F.lit(f"{d.mapping['primary_key']}:"), key.cast("string")))
 
 
-def pair_relations(ontology: str, s: Dataset, t: Dataset) -> list[DataFrame]:
+def pair_relations(ontology: str, s: Dataset, t: Dataset, candidates: list[dict] | None = None) -> list[DataFrame]:
     """Relations from one dataset to another: foreign keys first, then shared columns, then alternate keys; a column relates once."""
     sp, tp = s.mapping["primary_key"], t.mapping["primary_key"]
     if "__row_hash__" in (sp, tp):
@@ -47,7 +48,7 @@ def pair_relations(ontology: str, s: Dataset, t: Dataset) -> list[DataFrame]:
         ids = pairs.select(_row(ontology, s, F.col("source")).alias("source"), _row(ontology, t, F.col("target")).alias("target")).distinct()
         out.append(ids.select(relation_id(F.lit(ontology), F.col("source"), F.lit(kind), F.col("target"), F.lit(origin)).alias("id"), "source", "target", F.lit(kind).alias("type"), F.lit(links.CONFIDENCE[origin]).alias("confidence"), F.lit(origin).alias("origin")))
 
-    for c in mapping.fk_candidates(s.df, s.name, t.df, t.name, tp, sp):
+    for c in mapping.fk_candidates(s.df, s.name, t.df, t.name, tp, sp) if candidates is None else candidates:
         p = links.exact_or_normal(s.df.select(sp, c["column"]), c["column"], t.df.select(tp), tp)
         add(p.select(F.col(sp).alias("source"), F.col("target_key").alias("target")), c["relation"], "fk")
         used.add(c["column"])
@@ -56,10 +57,10 @@ def pair_relations(ontology: str, s: Dataset, t: Dataset) -> list[DataFrame]:
         if c not in used and t.facts[c]["distinct_count"] >= 2:
             add(links.same_name_join(s.df, sp, t.df, tp, c), kind, "same_name")
             used.add(c)
-    for r in alternate_keys(key_facts(t.df, [c for c in t.df.columns if c != tp])).collect():  # at most one row a column
+    for alternate in alternate_keys_of(t.facts, [c for c in t.df.columns if c != tp]):
         for c in s.df.columns:
             if c not in used and s.df.schema[c].dataType.typeName() == "string" and s.facts[c]["distinct_count"] > 1:
-                add(links.alternate_key_join(s.df, sp, c, t.df, tp, r.column_name), kind, "alt_key")
+                add(links.alternate_key_join(s.df, sp, c, t.df, tp, alternate), kind, "alt_key")
     return out
 
 
@@ -75,8 +76,8 @@ def link_relations(ontology: str, by_name: dict[str, Dataset], link: dict) -> Da
 def build_all(spark, ontology: str, datasets: list[Dataset], explicit: list[dict] | None = None) -> dict[str, DataFrame]:
     """Everything of an ontology as lazy tables by name, with ``summary`` counting them.
 
-    The pairs of datasets are configuration; for each, one aggregation decides which columns relate,
-    and each accepted column is one join. Ids are stable, so that a rebuild changes nothing.
+    Each dataset is profiled once; one aggregation for each source decides which of its columns relate to
+    which other dataset, and each accepted column is one join. Ids are stable, so that a rebuild changes nothing.
     """
     ready = [prepared(d) for d in datasets]
     by_name = {d.name: d for d in ready}
@@ -86,10 +87,13 @@ def build_all(spark, ontology: str, datasets: list[Dataset], explicit: list[dict
         instances = one if instances is None else instances.unionByName(one)
     relations = spark.createDataFrame([], RELATION)
     found: list[dict] = []
+    keyed = [t for t in ready if t.mapping["primary_key"] != "__row_hash__"]
     for s in ready:
+        others = [(t.name, t.df, t.mapping["primary_key"]) for t in keyed if t is not s]
+        candidates = mapping.fk_candidates_of(s.df, s.name, others, s.mapping["primary_key"]) if others and s in keyed else {}
         for t in ready:
             if s is not t:
-                for r in pair_relations(ontology, s, t):
+                for r in pair_relations(ontology, s, t, candidates.get(t.name, [])):
                     relations = relations.unionByName(r)
                     found.append({"source": s.name, "relation": f"HAS_{t.name.upper().rstrip('S')}", "target": t.name})
     for x in explicit or []:

@@ -115,6 +115,12 @@ def alternate_keys(facts: DataFrame) -> DataFrame:
     return facts.filter((f("distinct_count") >= 2) & (f("numeric") < f("filled")) & (f("long") >= 0.8 * f("filled")) & (f("distinct_count") >= 0.9 * f("filled"))).select("column_name")
 
 
+def alternate_keys_of(facts: dict[str, dict], columns: list[str]) -> list[str]:
+    """The same from facts that are at hand, in order of the columns."""
+    f = lambda c: facts[c]
+    return [c for c in columns if f(c)["distinct_count"] >= 2 and f(c)["numeric"] < f(c)["filled"] and f(c)["long"] >= 0.8 * f(c)["filled"] and f(c)["distinct_count"] >= 0.9 * f(c)["filled"]]
+
+
 def first_type(df: DataFrame, columns: list[str], order: str, sample: int | None = None) -> DataFrame:
     """(column_name, type, example) by the first value in order that is not blank."""
     src = df.orderBy(order).limit(sample) if sample else df

@@ -133,10 +133,11 @@ def _key(df: DataFrame) -> DataFrame:
 
 
 def rejects(raw: DataFrame, fields: list[str] = ORDER_FIELDS, kinds: dict[str, str] = ORDER_KINDS, **columns: str) -> DataFrame:
-    """(offset, reason, line) of every record that the strict load did not take.
+    """(offset, reason, failed_field, line) of every record that the strict load did not take.
 
     The remainder is what the raw offsets hold beyond the loaded ones. Its reason is the first of
-    ``quoting``, ``column_count`` and ``value`` that applies.
+    ``quoting``, ``column_count`` and ``value`` that applies; ``failed_field`` is the first field with
+    an invalid value where that is the reason, else null.
     """
     recs = _key(records(raw, **columns))
     loaded = _key(strict_load(recs.drop("digest"), fields, kinds)).select("offset", "digest")
@@ -147,4 +148,5 @@ def rejects(raw: DataFrame, fields: list[str] = ORDER_FIELDS, kinds: dict[str, s
         .when(F.size("fields") != len(fields), "column_count")
         .when(~F.col("valid"), "value"),
     )
-    return diagnosed.filter(F.col("reason").isNotNull()).select(F.col("offset").alias(columns.get("offset", "raw_id")), "reason", "line")
+    failed = F.coalesce(*[F.when(~_valid(F.get("fields", F.lit(fields.index(name))), kind), name) for name, kind in kinds.items()])
+    return diagnosed.filter(F.col("reason").isNotNull()).select(F.col("offset").alias(columns.get("offset", "raw_id")), "reason", F.when(F.col("reason") == "value", failed).alias("failed_field"), "line")

@@ -19,6 +19,11 @@ def p1_orders(spark: SparkSession, d: str) -> DataFrame:
     return load.typed_orders(table(spark, d, "raw_orders")).select("raw_id", *[F.col(c).cast("double").alias(c) if k.startswith("number") else F.col(c) for c in load.ORDER_FIELDS for k in [load.ORDER_KINDS.get(c, "")]])
 
 
+def p1_failed_fields(spark: SparkSession, d: str) -> DataFrame:
+    bad = load.rejects(table(spark, d, "raw_orders")).filter("reason = 'value'")
+    return bad.select("raw_id", "failed_field", "line")
+
+
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "raw_orders")
     bad = load.rejects(raw).select("raw_id", "reason")
@@ -62,13 +67,13 @@ def p5_rare_values(spark: SparkSession, d: str) -> DataFrame:
     return profile.rare_values(_values(spark, d), LOAD)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_orders, p1_report, p4_found, p4_report, p5_found, p5_profile, p5_patterns, p5_rare_values)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_orders, p1_failed_fields, p1_report, p4_found, p4_report, p5_found, p5_profile, p5_patterns, p5_rare_values)}
 
 
 # SQL
 
 
-def _p1_sql() -> str:
+def _p1_sql() -> tuple[str, list[str], str]:
     def per_sep(make) -> str:
         return "CASE sep " + " ".join(f"WHEN {lit} THEN {make(rx)}" for lit, rx in (("','", ","), ("';'", ";"), ("'|'", "[|]"), ("chr(9)", r"\t"))) + " END"
 
@@ -90,10 +95,10 @@ WITH lines AS (SELECT raw_id, source_file, sep, regexp_replace(c0, '\\r$', '') A
 records AS (SELECT * FROM lines WHERE line <> '' AND NOT starts_with(line, '#')),
 parsed AS (SELECT *, {quoted_well} AS quoted_well, list_transform({fields}, lambda x: trim(CASE WHEN starts_with(x, '"') THEN replace(substr(x, 2, length(x) - 2), '""', '"') ELSE x END)) AS f FROM records),
 judged AS (SELECT *, CASE WHEN NOT quoted_well THEN 'quoting' WHEN len(f) <> 17 THEN 'column_count' WHEN NOT ({" AND ".join(ok)}) THEN 'value' END AS reason FROM parsed)
-""", typed
+""", typed, "CASE " + " ".join(f"WHEN NOT ({o}) THEN '{n}'" for o, n in zip(ok, ["订单号", "下单日期", "要求交货期", "实际到货期", "数量", "单价", "总金额"], strict=True)) + " END"
 
 
-_P1, _TYPED = _p1_sql()
+_P1, _TYPED, _FAILED = _p1_sql()
 
 _P4 = """
 WITH latest AS (
@@ -176,6 +181,7 @@ moved AS (SELECT feed, load_no, column_name, sum(abs(now - former)) / 2 AS diver
 SQL = {
     "p1_found": _P1 + "SELECT raw_id, reason FROM judged WHERE reason IS NOT NULL",
     "p1_orders": _P1 + "SELECT raw_id, " + ", ".join(_TYPED) + " FROM judged WHERE reason IS NULL",
+    "p1_failed_fields": _P1 + f"SELECT raw_id, {_FAILED} AS failed_field, line FROM judged WHERE reason = 'value'",
     "p1_report": _P1 + "SELECT source_file, reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY source_file, reason",
     "p4_found": _P4 + "SELECT * FROM found",
     "p4_report": _P4 + "SELECT table_name, field_name, period, kind, count(*) AS n FROM found GROUP BY ALL",
