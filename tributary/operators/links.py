@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.functions.text import key_normal, name_normal, relation_id, sequence_ratio, shared_characters, split_cell, strip
+from tributary.functions.text import key_normal, name_normal, relation_id, shared_characters, split_cell, strip
+from tributary.operators.near_names import best_partners
 
 #: Confidence of a relation by how it was found.
 CONFIDENCE = {"fk": 0.85, "same_name": 0.80, "alt_key": 0.75, "link": 0.90}
@@ -101,25 +102,22 @@ def resolve_names(names: DataFrame, name: str, known: DataFrame, known_name: str
 def anchor_matches(orphans: DataFrame, anchors: DataFrame, least_ratio: float = 0.85) -> DataFrame:
     """(orphan, anchor, method, score): the best of exact name, exact English name, substring and edit ratio.
 
-    Orphans and anchors have id, name_cn, name_en, type; only equal types match. Substrings and ratios
-    are only tried on pairs that share a two-character gram.
+    Orphans and anchors have id, name_cn, name_en, type; only equal types match. Of equal scores the first method and
+    the smallest anchor count, so a name is looked up once among the anchors' distinct names, however many rows have it.
     """
-    o = orphans.select(F.col("id").alias("orphan"), "type", name_normal(F.col("name_cn")).alias("n"), name_normal(F.coalesce("name_en", F.lit(""))).alias("e"))
-    a = anchors.select(F.col("id").alias("anchor"), "type", name_normal(F.col("name_cn")).alias("m"), name_normal(F.coalesce("name_en", F.lit(""))).alias("f"))
-    cn = o.filter("n <> ''").join(a, [o["type"] == a["type"], F.col("n") == F.col("m")]).select("orphan", "anchor", F.lit("exact_name_cn").alias("method"), F.lit(1.0).alias("score"))
-    en = o.filter("e <> ''").join(a, [o["type"] == a["type"], F.col("e") == F.col("f")]).select("orphan", "anchor", F.lit("exact_name_en").alias("method"), F.lit(0.98).alias("score"))
-    done = cn.unionByName(en)
-    rest = o.join(done.select("orphan"), "orphan", "left_anti")
-    g = rest.withColumn("g", F.explode(name_grams(F.col("n")))).join(a.withColumn("g", F.explode(name_grams(F.col("m")))), ["type", "g"]).groupBy("orphan", "anchor", "n", "m").agg(F.count("*").alias("shared"))
-    short, long_ = F.least(F.length("n"), F.length("m")), F.greatest(F.length("n"), F.length("m"))
-    part = (F.contains(F.col("n"), F.col("m")) | F.contains(F.col("m"), F.col("n"))) & (short / long_ >= 0.5) & (short >= 2)
-    sub = g.filter(part).select("orphan", "anchor", F.lit("substring").alias("method"), (0.80 + 0.08 * short / long_).alias("score"))
-    # a character of one name that the other lacks is never matched, which bounds the ratio from above
-    most = lambda x, y: F.length(x) - F.size(F.array_except(F.split(x, ""), F.split(y, "")))
-    possible = g.filter(~part & (2.0 * short / (short + long_) >= least_ratio) & (2.0 * F.least(most("n", "m"), most("m", "n")) / (short + long_) >= least_ratio))
-    near = possible.withColumn("score", sequence_ratio(F.col("n"), F.col("m"))).filter(F.col("score") >= least_ratio).select("orphan", "anchor", F.lit("ratio").alias("method"), "score")
-    every = done.unionByName(sub).unionByName(near)
-    return every.withColumn("r", F.row_number().over(Window.partitionBy("orphan").orderBy(F.desc("score"), "method", "anchor"))).filter("r = 1").drop("r")
+    o = orphans.select(F.col("id").alias("orphan"), F.col("type").alias("group"), name_normal(F.col("name_cn")).alias("name"), name_normal(F.coalesce("name_en", F.lit(""))).alias("e"))
+    a = anchors.select(F.col("id").alias("anchor"), F.col("type").alias("group"), name_normal(F.col("name_cn")).alias("name"), name_normal(F.coalesce("name_en", F.lit(""))).alias("e")).filter("group is not null")
+    known = a.filter("name <> ''").groupBy("group", "name").agg(F.min("anchor").alias("partner"))
+    cn = known.withColumnRenamed("partner", "cn")
+    en = a.filter("e <> ''").groupBy("group", "e").agg(F.min("anchor").alias("en"))
+    met = o.join(cn, ["group", "name"], "left").join(en, ["group", "e"], "left")
+    rest = met.filter("cn is null and en is null and group is not null and name <> ''").select("group", "name").distinct()
+    near = best_partners(rest, known, least_ratio).select("group", "name", "method", "score", F.col("partner").alias("near"))
+    exact = F.when(F.col("cn").isNotNull(), F.lit("exact_name_cn")).when(F.col("en").isNotNull(), F.lit("exact_name_en"))
+    score = F.when(F.col("cn").isNotNull(), 1.0).when(F.col("en").isNotNull(), 0.98).otherwise(F.col("score"))
+    every = met.join(near, ["group", "name"], "left").select("orphan", F.coalesce("cn", "en", "near").alias("anchor"), F.coalesce(exact, "method").alias("method"), score.alias("score"))
+    best = every.filter("anchor is not null").groupBy("orphan").agg(F.min(F.struct((-F.col("score")).alias("s"), "method", "anchor")).alias("x"))
+    return best.select("orphan", "x.anchor", "x.method", (-F.col("x.s")).alias("score"))
 
 
 def cardinality(pairs: DataFrame, source: str, target: str) -> DataFrame:
