@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators import links, near_names
+from tributary.queries import flows
 
 
 def crowd(spark, n):
@@ -30,6 +31,14 @@ def test_a_shared_english_name_does_not_pair_all_rows(spark, hurry):
     assert [tuple(r) for r in got.groupBy("method", "anchor", "score").count().collect()] == [("exact_name_en", "v0", 0.98, 40_000)]
 
 
+def test_the_plan_of_crowded_names_has_one_row_an_orphan(spark, tmp_path, hurry):
+    v = crowd(spark, 30_000)
+    both = v.withColumn("ontology_id", F.lit("o-sup-00000")).unionByName(v.withColumns({"id": F.concat(F.lit("o"), "id"), "name_cn": F.concat(F.lit("另"), "name_cn"), "ontology_id": F.lit("o-1")}))
+    both.withColumns({"confidence": F.lit(0.9), "updated_at": F.current_timestamp()}).write.parquet(f"{tmp_path}/entities.parquet")
+    got = flows.q.queries["mpg_19_link_plan"](spark, str(tmp_path))
+    assert [tuple(r) for r in got.groupBy("anchor", "method", "action").count().collect()] == [("v0", "exact_name_en", "merge", 30_000)]
+
+
 def brute(names, others, least):
     out = {}
     for g, n in names:

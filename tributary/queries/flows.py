@@ -12,7 +12,7 @@ from tributary.operators import audit, catalog, cleansing, documents, graph, lin
 from tributary.operators import profiling as p
 from tributary.plans import pipeline
 from tributary.plans.durable import checkpoint_dir
-from tributary.queries.registry import Registry
+from tributary.queries.registry import Registry, latest
 from tributary.sources import connectors, exports, files, object_store
 from tributary.streaming import incremental
 
@@ -693,7 +693,7 @@ def _(T):
 
 
 def _plan(T):
-    v = T("v")
+    v = latest(T("entities"), "ontology_id", "name_cn", "name_en", "type", "confidence")
     m = links.anchor_matches(v.filter("ontology_id <> 'o-sup-00000'"), v.filter("ontology_id = 'o-sup-00000'"))
     return mapping.link_plan(m, v.filter("ontology_id = 'o-sup-00000' and confidence > 0.5"))
 

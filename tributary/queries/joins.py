@@ -8,7 +8,7 @@ from tributary.operators import catalog
 from tributary.operators import graph as g
 from tributary.operators import links as ln
 from tributary.operators import profiling as p
-from tributary.queries.registry import Registry
+from tributary.queries.registry import Registry, latest
 
 q = Registry()
 c = F.col
@@ -97,7 +97,7 @@ def _(T):
 
 @q("joi_14_anchor_matching")
 def _(T):
-    v = T("v")
+    v = latest(T("entities"), "ontology_id", "name_cn", "name_en", "type")
     return ln.anchor_matches(v.filter("ontology_id <> 'o-sup-00000'"), v.filter("ontology_id = 'o-sup-00000'"))
 
 

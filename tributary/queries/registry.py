@@ -51,11 +51,16 @@ def with_views(sql: str) -> str:
     return f"WITH {views} {body}"
 
 
+def latest(entities: DataFrame, *columns: str) -> DataFrame:
+    """The latest version of each entity; columns that are not named are not carried along, as a struct is never pruned."""
+    return entities.groupBy("id").agg(F.max_by(F.struct(*columns), "updated_at").alias("x")).select("id", "x.*")
+
+
 def view(spark: SparkSession, d: str, name: str) -> DataFrame:
     if name == "v":
         df = table(spark, d, "entities")
         cols = ["ontology_id", "name_cn", "name_en", "type", "description", "properties", "confidence", "version", "created_at", "updated_at", "deleted_at"]
-        return df.groupBy("id").agg(F.max_by(F.struct(*cols), "updated_at").alias("x")).select("id", "x.*")
+        return latest(df, *cols)
     if name == "e":
         return table(spark, d, "relations").select("id", "ontology_id", "source_entity", "target_entity", "type", "confidence", "created_at").distinct()
     return table(spark, d, {"r": "logic_rules", "a": "actions"}.get(name, name))
