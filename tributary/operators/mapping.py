@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tributary.functions.text import concept_id, key_normal, relation_id, row_id, row_identity
+from tributary.plans.durable import cut
 from tributary.operators.links import CONFIDENCE, exact_or_normal
 from tributary.operators.profiling import choose_key, guess_type, key_facts
 
@@ -189,8 +190,9 @@ def apply_plan(vertices: DataFrame, edges: DataFrame, plan: DataFrame) -> tuple[
     """Merged orphans are gone, their edges go to the anchor, its blanks are filled; loops and repeated edges are dropped.
 
     Of repeated edges the one with the smallest id stays; an edge with a null end is neither loop nor repeat and stays.
+    The plan is worked out once, here: four joins read it.
     """
-    to = plan.filter("action = 'merge'").select(F.col("orphan").alias("old"), F.col("anchor").alias("new"))
+    to = cut(plan.filter("action = 'merge'").select(F.col("orphan").alias("old"), F.col("anchor").alias("new")))
     e = edges
     for end in ("source_entity", "target_entity"):
         e = e.join(to.withColumnRenamed("old", end), end, "left").withColumn(end, F.coalesce("new", end)).drop("new")
